@@ -5,13 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.functions.keys import plain_cve, plain_ip, plain_uuid, squeeze, text_or_empty
-from tidewatch.operators import asof, dedup, history, lateness, snapshots
+from tidewatch.functions.keys import plain_cve, plain_ip, plain_uuid, text_or_empty
+from tidewatch.operators import asof, dedup, drift, history, lateness, snapshots
 from tidewatch.operators.runs import complete_runs
 from tidewatch.sources.tables import table
 from tidewatch.storage import settle
 
 
+# --- 1: schemas that drift between files ----------------------------------------------------
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return drift.changes(table(spark, d, "landed_lines"))
+
+
+def p1_table(spark: SparkSession, d: str) -> DataFrame:
+    """Every readable line in one consistent table, a row per line and field."""
+    return drift.consistent(table(spark, d, "landed_lines"))
+
+
+def p1_alternatives(spark: SparkSession, d: str) -> DataFrame:
+    """The types each field has had, and the file in which each appeared."""
+    return drift.alternatives(table(spark, d, "landed_lines")).select("source", "field", "tag", "n_values", "first_file")
+
+
 # --- 2: what changed between full snapshots -------------------------------------------------
 
 
@@ -139,7 +156,7 @@ def p7_counts(spark: SparkSession, d: str) -> DataFrame:
     return view.select(F.col("grp").alias("collector_host"), F.col("period_start").alias("hour_start"), "provisional", "final", "late", "cut_off")
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p3_found, p3_kept, p5_found, p5_sessions, p6_found, p7_found, p7_counts)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_table, p1_alternatives, p2_found, p3_found, p3_kept, p5_found, p5_sessions, p6_found, p7_found, p7_counts)}
 
 # Pieces of the SQL, in DuckDB's dialect.
 _IP = "CASE WHEN regexp_full_match(regexp_replace(lower(regexp_replace({c}, '\\s+', '', 'g')), '^::ffff:', ''), '[0-9]{{1,3}}(\\.[0-9]{{1,3}}){{3}}') THEN regexp_replace(lower(regexp_replace({c}, '\\s+', '', 'g')), '^::ffff:', '') END"
@@ -185,6 +202,11 @@ _P7 = f"""e AS (SELECT {_UUID} AS id, min(epoch_us(ingested_at)) AS a, arg_min(e
 c AS (SELECT h, (t // 3600000000) * 3600 AS hour_start, a - (t // 3600000000 + 1) * 3600000000 AS late FROM e)"""
 
 SQL = {
+    "p1_alternatives": """WITH o AS (SELECT source, file_id, collected_at, CASE WHEN json_valid(payload) THEN payload END::JSON AS p FROM landed_lines),
+k AS (SELECT source, file_id, collected_at, p, unnest(json_keys(p)) AS field FROM o WHERE json_type(p) = 'OBJECT'),
+t AS (SELECT source, file_id, collected_at, field, json_type(p, '$."' || field || '"') AS j FROM k)
+SELECT source, field, CASE j WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'ARRAY' THEN 'array' WHEN 'OBJECT' THEN 'object' ELSE 'number' END AS tag, count(*) AS n_values,
+arg_min(file_id, (epoch_us(collected_at), file_id)) AS first_file FROM t WHERE j <> 'NULL' GROUP BY 1, 2, 3""",
     "p2_found": _P2,
     "p3_found": f"SELECT event_id FROM (SELECT {_UUID} AS event_id FROM bronze_events) GROUP BY event_id HAVING count(*) > 1",
     "p3_kept": f"""SELECT {_UUID} AS event_id, source, event_type, epoch_us(ingested_at) AS ingested_us, _kafka_partition, _kafka_offset, content_hash FROM bronze_events
