@@ -3,10 +3,24 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tidewatch.llm import garbled, mixing, tokens
+from tidewatch.llm import clusters, garbled, mixing, tokens
 from tidewatch.sources.tables import table
+from tidewatch.storage import settle
+
+
+def _celled(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    hosts, profiles = clusters.profiles(clusters.server_features(table(spark, d, "urlhaus_urls")))
+    return clusters.cells(profiles), hosts
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return clusters.pairs(settle(clusters.linked(*_celled(spark, d)), "linked"))
+
+
+def p4_clusters(spark: SparkSession, d: str) -> DataFrame:
+    """The k-means clusters: size and most typical members."""
+    return clusters.described(*_celled(spark, d))
 
 
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
@@ -39,5 +53,5 @@ def p10_restored(spark: SparkSession, d: str) -> DataFrame:
     return garbled.restored(table(spark, d, "documents"), "doc_id", "text")
 
 
-QUERIES = {f.__name__: f for f in (p8_ids, p8_round_trip, p9_mix, p9_shares, p10_found, p10_restored)}
+QUERIES = {f.__name__: f for f in (p4_found, p4_clusters, p8_ids, p8_round_trip, p9_mix, p9_shares, p10_found, p10_restored)}
 SQL = {"p8_round_trip": "SELECT doc_id, coalesce(text, '') AS text FROM documents"}
