@@ -50,7 +50,7 @@ def record_key(v: Column) -> Column:
 
 def branches(lines: DataFrame, *keep: str) -> DataFrame:
     """A row per readable line and top-level field: ``keep``, ``field``, ``value`` (variant), ``tag``."""
-    exploded = lines.lateralJoin(lines.sparkSession.tvf.variant_explode(F.col("_v").outer()))
+    exploded = lines.select(*keep, "_v").lateralJoin(lines.sparkSession.tvf.variant_explode(F.col("_v").outer()))
     return exploded.select(*keep, F.col("key").alias("field"), "value", type_tag(F.col("value")).alias("tag"))
 
 
