@@ -261,3 +261,29 @@ def test_export_is_all_or_nothing(spark, tmp_path):
         export.publish(str(tmp_path / "leak"), {"honeypot": {"ip": "100.64.0.8"}}, secrets)
     assert not (tmp_path / "leak").exists() and "100.64.0.9" not in open(f"{out}/honeypot.json").read()
     assert export.honeypot(None, None, None, None) == {"available": False}
+
+
+def test_lambda_view_on_a_stream(spark, tmp_path):
+    from tidewatch.streaming.lambda_view import LambdaView
+
+    hour = 3600
+    t0 = 1_788_220_800  # the start of an hour
+    ts = lambda s: datetime.fromtimestamp(s, timezone.utc)
+    rows = lambda *r: spark.createDataFrame([(i, g, ts(o), ts(a)) for i, g, o, a in r], "id string, g string, o timestamp, a timestamp")
+    v = LambdaView(spark, str(tmp_path / "v"), F.col("id"), "g", "o", "a")
+    first = rows(("a", "h", t0 + 5, t0 + 60), ("b", "h", t0 + 6, t0 + 70))
+    late = rows(("a", "h", t0 + 5, t0 + 2 * hour), ("c", "h", t0 + 9, t0 + 3 * hour))
+    too_late = rows(("d", "h", t0 + 9, t0 + 80 * hour))
+    v.add(first, 0)
+    v.add(first, 0)  # the batch comes again
+    got = lambda now: {(r["grp"], r["period_start"]): r["n"] for r in v.read(now * 1_000_000).collect()}
+    assert got(t0 + hour) == {("h", t0): 2}
+    v.add(late, 1)
+    assert got(t0 + 4 * hour) == {("h", t0): 4}  # a second copy of a, until the recomputation
+    v.recompute(first.unionByName(late), (t0 + 5 * hour) * 1_000_000)
+    assert got(t0 + 5 * hour) == {("h", t0): 3}
+    log = first.unionByName(late).unionByName(too_late)
+    v.add(too_late, 2)
+    v.recompute(log, (t0 + 90 * hour) * 1_000_000)
+    v.recompute(log, (t0 + 91 * hour) * 1_000_000)
+    assert got(t0 + 91 * hour) == {("h", t0): 3}  # frozen

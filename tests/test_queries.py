@@ -3,10 +3,10 @@
 import pytest
 from oracle import rows_of, rows_of_sql
 
-from tidewatch.plans import lakehouse, learning, pipeline_data, relational
+from tidewatch.plans import lakehouse, learning, pipeline_data, relational, streams
 
-QUERIES = pipeline_data.QUERIES | lakehouse.QUERIES | relational.QUERIES | learning.QUERIES
-SQL = pipeline_data.SQL | lakehouse.SQL | relational.SQL
+QUERIES = pipeline_data.QUERIES | lakehouse.QUERIES | relational.QUERIES | learning.QUERIES | streams.QUERIES
+SQL = pipeline_data.SQL | lakehouse.SQL | relational.SQL | streams.SQL
 
 
 @pytest.mark.parametrize("name", sorted(SQL))

@@ -8,6 +8,7 @@ Only where that setting is missing (tests, a laptop) a local folder is made.
 from __future__ import annotations
 
 import atexit
+import os
 import shutil
 import tempfile
 import uuid
@@ -41,3 +42,94 @@ def fresh(taken: list[str], name: str) -> str:
     while name.lower() in low:
         name += "_"
     return name
+
+
+class Files:
+    """A folder tree on any file system that Spark can write to, through Hadoop's file API."""
+
+    def __init__(self, spark: SparkSession):
+        self._jvm = spark.sparkContext._jvm
+        self._conf = spark.sparkContext._jsc.hadoopConfiguration()
+
+    def _path(self, path: str):
+        p = self._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self._conf), p
+
+    def exists(self, path: str) -> bool:
+        fs, p = self._path(path)
+        return fs.exists(p)
+
+    def make_folder(self, path: str) -> None:
+        fs, p = self._path(path)
+        fs.mkdirs(p)
+
+    def names(self, folder: str) -> list[str]:
+        """The names in a folder, sorted; none if it isn't there."""
+        fs, p = self._path(folder)
+        return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+    def files(self, folder: str, suffix: str) -> list[tuple[str, int]]:
+        """All files below a folder with that suffix, and their bytes."""
+        fs, p = self._path(folder)
+        found, it = [], fs.listFiles(p, True) if fs.exists(p) else None
+        while it is not None and it.hasNext():
+            s = it.next()
+            if s.getPath().getName().endswith(suffix):
+                found.append((s.getPath().toString(), s.getLen()))
+        return found
+
+    def read(self, path: str) -> str:
+        fs, p = self._path(path)
+        stream = fs.open(p)
+        try:
+            return bytes(self._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+        finally:
+            stream.close()
+
+    def write(self, path: str, text: str) -> None:
+        fs, p = self._path(path)
+        stream = fs.create(p, True)
+        try:
+            stream.write(text.encode())
+        finally:
+            stream.close()
+
+    def publish(self, path: str, text: str) -> bool:
+        """Make a file appear whole, at once and only if it isn't there; False if it is."""
+        folder, name = path.rsplit("/", 1)
+        tmp = f"{folder}/.{name}-{uuid.uuid4().hex}"
+        self.write(tmp, text)
+        fs, p = self._path(path)
+        try:
+            if fs.getScheme() == "file":  # a rename would replace it here; a link doesn't
+                plain = self._path(path)[1].toUri().getPath()
+                os.link(self._path(tmp)[1].toUri().getPath(), plain)
+                return True
+            context = self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(p.toUri(), self._conf)
+            context.rename(self._path(tmp)[1], p, self._no_options())
+            return True
+        except FileExistsError:
+            return False
+        except Exception as e:  # Py4J wraps the file system's own error
+            if "AlreadyExists" in str(e):
+                return False
+            raise
+        finally:
+            if self.exists(tmp):
+                self.remove(tmp)
+
+    def _no_options(self):
+        return self._jvm.java.lang.reflect.Array.newInstance(self._jvm.java.lang.Class.forName("org.apache.hadoop.fs.Options$Rename"), 0)
+
+    def replace(self, path: str, text: str) -> None:
+        """Write a small file anew; readers see the old or the new one (on file systems whose rename is atomic)."""
+        fs, p = self._path(path)
+        tmp = f"{path}.{uuid.uuid4().hex}.tmp"
+        self.write(tmp, text)
+        if fs.getScheme() != "file" and fs.exists(p):
+            fs.delete(p, False)
+        fs.rename(self._path(tmp)[1], p)
+
+    def remove(self, path: str) -> None:
+        fs, p = self._path(path)
+        fs.delete(p, True)

@@ -9,13 +9,13 @@ partition. Readers follow new files; every row of an entity is in one partition,
 from __future__ import annotations
 
 import json
-import os
-import shutil
 from dataclasses import asdict, dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidewatch.storage import Files
+
 
 @dataclass(frozen=True)
 class TopicSpec:
@@ -51,13 +51,13 @@ class TopicLog:
     """Topics below one folder."""
 
     def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root
+        self.spark, self.root, self.files = spark, root.rstrip("/"), Files(spark)
 
     def _path(self, name: str, *more: str) -> str:
-        return os.path.join(self.root, name, *more)
+        return "/".join((self.root, name, *more))
 
     def exists(self, name: str) -> bool:
-        return os.path.exists(self._path(name, "_topic.json"))
+        return self.files.exists(self._path(name, "_topic.json"))
 
     def create(self, spec: TopicSpec, dry_run: bool = False) -> str:
         """``exists``, ``would create`` or ``created``."""
@@ -65,19 +65,15 @@ class TopicLog:
             return "exists"
         if dry_run:
             return "would create"
-        os.makedirs(self._path(spec.name, "data"), exist_ok=True)
+        self.files.make_folder(self._path(spec.name, "data"))
         self._save(spec)
         return "created"
 
     def _save(self, spec: TopicSpec) -> None:
-        tmp = self._path(spec.name, ".topic.tmp")
-        with open(tmp, "w") as f:
-            json.dump(asdict(spec), f, sort_keys=True)
-        os.replace(tmp, self._path(spec.name, "_topic.json"))
+        self.files.replace(self._path(spec.name, "_topic.json"), json.dumps(asdict(spec), sort_keys=True))
 
     def describe(self, name: str) -> TopicSpec:
-        with open(self._path(name, "_topic.json")) as f:
-            return TopicSpec(**json.load(f))
+        return TopicSpec(**json.loads(self.files.read(self._path(name, "_topic.json"))))
 
     def reconcile(self, spec: TopicSpec, apply: bool = False) -> str:
         """``missing``, ``in sync``, ``would change`` or ``updated``; the number of partitions of a topic with rows never changes."""
@@ -97,13 +93,13 @@ class TopicLog:
         if not self.exists(name):
             return "missing"
         if not dry_run:
-            shutil.rmtree(self._path(name))
+            self.files.remove(self._path(name))
         return "would delete" if dry_run else "deleted"
 
     def counts(self, name: str) -> dict[int, int]:
         """Rows of each partition, which are also its next offsets."""
         path = self._path(name, "data")
-        if not os.path.isdir(path) or not any(e.startswith("_partition=") for e in os.listdir(path)):
+        if not any(e.startswith("_partition=") for e in self.files.names(path)):
             return {}
         rows = self.spark.read.parquet(path).groupBy("_partition").agg(F.max("_offset").alias("top")).collect()  # a row per partition
         return {r["_partition"]: r["top"] + 1 for r in rows}
