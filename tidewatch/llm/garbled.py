@@ -2,8 +2,8 @@
 
 Every distinct word of the corpus that has a character beyond ASCII is put
 through all chains of wrong readings. A token of a document is garbled if it is
-such a form of another corpus word: by a chain that starts from UTF-8, or by
-an older one if that word stands in at least ``RATIO`` times as many documents.
+such a form of another corpus word: by a chain that starts from UTF-8 and loses nothing, or by
+any other if that word stands in at least ``RATIO`` times as many documents.
 Forms are joined with the distinct tokens first, so that documents meet only the few garbled ones. Words are
 compared with every run of digits as one ``0``.
 
@@ -74,7 +74,7 @@ def garbled_tokens(tokens: DataFrame) -> DataFrame:
     vocabulary = settle(tokens.groupBy("tok").agg(F.count(F.lit(1)).alias("n")), "vocabulary")
     forms = vocabulary.mapInPandas(_forms, "tok string, original string, n_original long, chain string, lossless boolean")
     hits = forms.join(vocabulary, "tok").withColumn("strong", F.expr(_STRONG.format("tok")))
-    likely = F.when(F.col("strong"), (F.col("chain").startswith("utf-8>")) | (F.col("n_original") >= RATIO * F.col("n"))).otherwise(F.col("n_original") >= WEAK_RATIO * F.col("n"))
+    likely = F.when(F.col("strong"), (F.col("chain").startswith("utf-8>") & F.col("lossless")) | (F.col("n_original") >= RATIO * F.col("n"))).otherwise(F.col("n_original") >= WEAK_RATIO * F.col("n"))
     best = hits.where(likely).groupBy("tok").agg(F.max(F.struct("n_original", "lossless", "original", "chain", "strong")).alias("b"))
     table = settle(best.select("tok", "b.original", "b.n_original", "b.chain", "b.lossless", "b.strong"), "garbled")
     rest = vocabulary.join(table, "tok", "left_anti").where(~F.col("tok").contains("�"))
