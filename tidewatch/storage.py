@@ -12,6 +12,7 @@ import os
 import shutil
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,9 +29,32 @@ def shared_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors' Python, once per application, so that it needn't be installed there."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    _shipped.add(context.applicationId)
+    root = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="tidewatch-package-")  # on the driver, which serves it
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    path = os.path.join(folder, "tidewatch.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for at, _, names in os.walk(root):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(at, n)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    context.addPyFile(path)
+
+
 def settle(df: DataFrame, name: str = "step") -> DataFrame:
     """Write ``df`` to the shared folder and read it back: the lineage is cut and the work done once."""
     spark = df.sparkSession
+    ship_package(spark)
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
