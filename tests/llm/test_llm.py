@@ -125,6 +125,14 @@ def test_planted_garbling_is_found_and_restored(spark):
     assert garbled.found(df.limit(0), "doc_id", "text").count() == 0
 
 
+def test_a_lossy_form_of_a_rare_word_is_no_evidence(spark):
+    """Dropping a control character makes a common, clean word of a rare, garbled one."""
+    wrong = garble("SÃO", [("mac_roman", "cp1252")])
+    assert ("SÃO", False) in {(f, ok) for f, _, ok in encodings.garbled_forms(wrong)}
+    rows = [(i, f"ESTAÇÕES SÃO {i}") for i in range(30)] + [(99, f"ESTAÇÕES {wrong} 99")]
+    assert {r["doc_id"] for r in garbled.found(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text").collect()} == {99}
+
+
 def test_digits_and_positions_survive_restoring(spark):
     rows = [(i, "entre 3–7 e 10–12 não") for i in range(20)] + [(99, garble("entre 31–75 e 100–129 não", [("utf-8", "cp1252")]))]
     [r] = garbled.restored(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text").collect()
