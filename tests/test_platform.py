@@ -20,9 +20,10 @@ from tidewatch.functions import text as tx
 from tidewatch.functions import urls
 from tidewatch.functions.keys import plain_cve, plain_ip, plain_uuid
 from tidewatch.lake.table import Table
+from tidewatch.plans import streams
 from tidewatch.schemas import BRONZE, Field, is_full_compatible
 from tidewatch.sources import envelope, feeds, rotating_log, sinks
-from tidewatch.streaming import bronze
+from tidewatch.streaming import bronze, topics
 from tidewatch.streaming.topics import TopicLog, TopicSpec, topic_name
 
 
@@ -171,6 +172,40 @@ def test_topic_to_bronze_with_dead_letters(spark, tmp_path):
     assert log.delete(topic, dry_run=True) == "would delete" and log.delete(topic) == "deleted"
 
 
+def test_offsets_over_several_ranges(spark, tmp_path, monkeypatch):
+    """Offsets are dense and in order though no task sorts a whole partition, and go on at the next call."""
+    monkeypatch.setattr(topics, "CHUNK", 7)
+    log, topic = TopicLog(spark, str(tmp_path / "log")), topic_name("urlhaus")
+    log.create(TopicSpec(topic))
+    events = [bronze_rows(spark, 60, tag=tag).drop("_kafka_topic", "_kafka_partition", "_kafka_offset", "_bronze_written_at") for tag in "gh"]
+    events[0] = events[0].withColumn("payload", F.lit('{"url": "http://hot.example/"}'))  # one entity: all in one partition
+    for e in events:
+        assert log.produce(topic, e) == {"produced": 60, "delivered": 60}
+    data = tmp_path / "log" / topic / "data"
+    rows = spark.read.parquet(str(data)).select("_partition", "_offset", "_appended_at", "ingested_at", "event_id").collect()
+    assert len({r["event_id"] for r in rows}) == 120
+    for p in {r["_partition"] for r in rows}:
+        mine = sorted((r for r in rows if r["_partition"] == p), key=lambda r: r["_offset"])
+        assert [r["_offset"] for r in mine] == list(range(len(mine)))
+        for call in {r["_appended_at"] for r in mine}:
+            placed = [(r["ingested_at"], r["event_id"]) for r in mine if r["_appended_at"] == call]
+            assert placed == sorted(placed)
+    hot = max({r["_partition"] for r in rows}, key=lambda p: sum(r["_partition"] == p for r in rows))
+    assert len(list((data / f"_partition={hot}").glob("*.parquet"))) > 2 and sum(log.counts(topic).values()) == 120
+
+
+@pytest.mark.parametrize("name", ["stream_bronze_sources", "time_travel_sources"])
+def test_streams_and_versions_hold_every_source(spark, data, name):
+    every = {r["source"]: r["count"] for r in spark.read.parquet(f"{data}/bronze_events.parquet").groupBy("source").count().collect()}
+    rows = streams.QUERIES[name](spark, data).collect()
+    last = max((r["version"] for r in rows), default=0) if name.startswith("time") else None
+    got = {}
+    for r in rows:
+        if last is None or r["version"] == last:
+            got[r["source"]] = got.get(r["source"], 0) + r["n"]
+    assert got == every and "cowrie" in got
+
+
 def test_a_crash_between_write_and_checkpoint(spark, tmp_path):
     """The batch is committed but the checkpoint isn't: it comes again, and is there once."""
     table = Table(spark, str(tmp_path / "b"), BRONZE)

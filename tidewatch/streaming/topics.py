@@ -9,12 +9,16 @@ partition. Readers follow new files; every row of an entity is in one partition,
 from __future__ import annotations
 
 import json
+import uuid
 from dataclasses import asdict, dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewatch.storage import Files
+from tidewatch.storage import Files, shared_dir
+
+#: About how many rows one task of ``TopicLog.produce`` sorts.
+CHUNK = 50_000
 
 
 @dataclass(frozen=True)
@@ -105,16 +109,30 @@ class TopicLog:
         return {r["_partition"]: r["top"] + 1 for r in rows}
 
     def produce(self, name: str, events: DataFrame) -> dict[str, int]:
-        """Append events; ``{"produced": n, "delivered": n}``. Offsets go on where each partition ended."""
-        spec = self.describe(name)
-        key = entity_key()
-        rows = events.withColumns({"_key": key, "_partition": partition_of(key, spec.partitions)})
-        start = F.create_map(*(F.lit(x) for kv in self.counts(name).items() for x in kv)) if self.counts(name) else F.create_map().cast("map<int,long>")
-        order = Window.partitionBy("_partition").orderBy("ingested_at", "event_id")
-        placed = rows.withColumn("_offset", F.row_number().over(order) - 1 + F.coalesce(F.try_element_at(start, F.col("_partition")), F.lit(0))).withColumn("_offset", F.col("_offset").cast("long"))
+        """Append events; ``{"produced": n, "delivered": n}``. Offsets go on where each partition ended.
+
+        Rows are cut into ranges of about ``CHUNK`` and sorted within them; an offset is the place in
+        the range plus the rows of the partition's ranges before it, so no task sorts a whole partition.
+        """
         n = events.count()
-        if n:
-            placed.withColumn("_appended_at", F.current_timestamp()).write.mode("append").partitionBy("_partition").parquet(self._path(name, "data"))
+        if not n:
+            return {"produced": 0, "delivered": 0}
+        spec = self.describe(name)
+        order = ("_partition", "ingested_at", "event_id")
+        rows = events.withColumn("_key", entity_key()).withColumn("_partition", partition_of(F.col("_key"), spec.partitions))
+        staged = f"{shared_dir(self.spark)}/produce-{uuid.uuid4().hex}"
+        placed = rows.repartitionByRange(-(-n // CHUNK), *order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
+        placed.write.parquet(staged)
+        try:
+            placed = self.spark.read.schema(placed.schema).parquet(staged).withColumn("_range", F.shiftright("_at", 33))
+            ranges = placed.groupBy("_partition", "_range").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_rows"))
+            before = Window.partitionBy("_partition").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # a row per range
+            start = F.coalesce(*(F.when(F.col("_partition") == p, F.lit(top)) for p, top in self.counts(name).items()), F.lit(0))
+            base = ranges.select("_partition", "_range", (start + F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first")).alias("_base"))
+            out = placed.join(F.broadcast(base), ["_partition", "_range"]).withColumn("_offset", (F.col("_at") + F.col("_base")).cast("long"))
+            out.select(*rows.columns, "_offset", F.current_timestamp().alias("_appended_at")).write.mode("append").partitionBy("_partition").parquet(self._path(name, "data"))
+        finally:
+            self.files.remove(staged)
         return {"produced": n, "delivered": n}
 
     def read_stream(self, name: str, schema, files_per_batch: int = 100) -> DataFrame:
