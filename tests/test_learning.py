@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.ml import dbscan, logit, metrics, runs, search, sessions
 from tidewatch.operators.components import components
+from tidewatch.plans import relational
 
 
 def test_components(spark):
@@ -142,3 +143,27 @@ def test_runs(spark, tmp_path):
         pass
     [row] = r.newest().collect()
     assert row["metrics"] == {"a": 0.5} and r.table.read().count() == 2
+
+
+def test_nearest_in_blocks(spark):
+    """Several blocks of queries and several tasks give what plain numpy gives, ties by key."""
+    v = np.random.default_rng(5).integers(-2, 3, (300, 4)).astype(float)  # few directions: many ties
+    vectors = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "id long, v array<double>").repartition(3)
+    queries = vectors.where("id % 10 = 0")
+    u = v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-300)
+    for own in (False, True):
+        wanted = set()
+        for q in range(0, 300, 10):
+            scores = np.round(u @ u[q], 9)
+            hits = [i for i in np.lexsort((np.arange(300), -scores)) if own or i != q][:5]
+            wanted |= {(q, int(i), place) for place, i in enumerate(hits, 1)}
+        for block in (7, 1000):
+            got = search.nearest(queries, vectors, "id", "v", 5, own=own, block=block).collect()
+            assert {(r["query_id"], r["hit_id"], r["place"]) for r in got} == wanted and len(got) == 150
+    assert search.nearest(queries.where("id < 0"), vectors, "id", "v", 5).count() == 0
+
+
+def test_searches_take_every_hundredth_vector(spark, data):
+    n = spark.read.parquet(f"{data}/embeddings.parquet").where("vec_id % 100 = 0").count()
+    assert relational.QUERIES["precision_at_k_hundredth"](spark, data).count() == n
+    assert relational.QUERIES["vector_topk_hundredth"](spark, data).groupBy("query_id").count().where("count = 10").count() == n

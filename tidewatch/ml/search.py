@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+import uuid
 from collections.abc import Sequence
+from itertools import islice
 from typing import Protocol
 
 import numpy as np
@@ -12,6 +14,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewatch.storage import shared_dir
+
 _WORD = "[a-z0-9]{2,}"
 
 
@@ -66,27 +70,56 @@ def cosine_topk(vectors: DataFrame, key: str, vector: str, wanted: Sequence[floa
     return vectors.select(key, score.alias("score")).orderBy(F.desc("score"), key).limit(max(k, 0))
 
 
-def nearest(queries: DataFrame, vectors: DataFrame, key: str, vector: str, k: int) -> DataFrame:
-    """``(query_id, hit_id, place)``: the ``k`` nearest of each of a stated, bounded set of queries among all vectors.
-
-    Queries are sent to all vectors in one block; each task keeps the best ``k`` per query of its batch.
-    """
-    rows = queries.select(key, vector).collect()  # the stated queries
-    ids, q = [r[0] for r in rows], np.asarray([r[1] for r in rows], float)
-    q /= np.maximum(np.linalg.norm(q, axis=1, keepdims=True), 1e-300)
+def _best(ids: list, q: np.ndarray, key: str, vector: str, k: int, digits: int, own: bool):
+    """A function over batches of vectors that gives the ``k`` nearest of each query in its task."""
 
     def best(batches):
+        held = [(np.empty(0, "int64"), np.empty(0)) for _ in ids]
         for pdf in batches:
+            if pdf.empty:
+                continue
             v = np.asarray(pdf[vector].tolist(), float)
             v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-300)
-            scores, own = np.round(q @ v.T, 9), pdf[key].to_numpy()
+            scores, keys = np.round(q @ v.T, digits), pdf[key].to_numpy()
             for i, query_id in enumerate(ids):
-                order = [j for j in np.lexsort((own, -scores[i])) if own[j] != query_id][:k]
-                yield pd.DataFrame({"query_id": query_id, "hit_id": own[order], "score": scores[i, order]})
+                s = scores[i]
+                at = np.flatnonzero(s >= np.partition(s, -k - 1)[-k - 1]) if len(s) > k + 1 else np.arange(len(s))  # k, and the query itself
+                if not own:
+                    at = at[keys[at] != query_id]
+                hits, of = np.concatenate((held[i][0], keys[at])), np.concatenate((held[i][1], s[at]))
+                order = np.lexsort((hits, -of))[:k]
+                held[i] = hits[order], of[order]
+        found = [pd.DataFrame({"query_id": query_id, "hit_id": h, "score": s}) for query_id, (h, s) in zip(ids, held) if len(h)]
+        if found:
+            yield pd.concat(found)
+
+    return best
 
-    found = vectors.select(key, vector).mapInPandas(best, "query_id long, hit_id long, score double")
+
+def nearest(queries: DataFrame, vectors: DataFrame, key: str, vector: str, k: int, digits: int = 9, own: bool = False, block: int = 1000) -> DataFrame:
+    """``(query_id, hit_id, place, score)``: the ``k`` nearest of each query among all vectors, ties of the rounded score by key.
+
+    Queries are sent to all vectors in blocks, so that neither the driver nor a task holds more than one;
+    each task keeps the best ``k`` per query of the block. ``own``: whether a query may find itself.
+    """
+    kind = "query_id long, hit_id long, score double"
+    rows, found, folder = queries.select(key, vector).toLocalIterator(), None, None
+    part = list(islice(rows, block))
+    while part:
+        following = list(islice(rows, block))
+        q = np.asarray([r[1] for r in part], float)
+        q /= np.maximum(np.linalg.norm(q, axis=1, keepdims=True), 1e-300)
+        found = vectors.select(key, vector).mapInPandas(_best([r[0] for r in part], q, key, vector, k, digits, own), kind)
+        if following or folder:  # one block is left to the caller's plan
+            folder = folder or f"{shared_dir(vectors.sparkSession)}/nearest-{uuid.uuid4().hex}"
+            found.write.mode("append").parquet(folder)
+        part = following
+    if folder:
+        found = vectors.sparkSession.read.schema(kind).parquet(folder)
+    if found is None or k <= 0:
+        found = vectors.sparkSession.createDataFrame([], kind)
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "hit_id")
-    return found.withColumn("place", F.row_number().over(w)).where(F.col("place") <= k).select("query_id", "hit_id", "place")
+    return found.withColumn("place", F.row_number().over(w)).where(F.col("place") <= k).select("query_id", "hit_id", "place", "score")
 
 
 def tfidf(docs: DataFrame, key: str, terms: Column, sublinear: bool = True, binary: bool = False, min_df: int = 1) -> DataFrame:

@@ -293,6 +293,16 @@ def vector_topk(s, d):
     return cosine_topk(e, "vec_id", "embedding", e.where("vec_id = 0").select("embedding").first()[0], 10)
 
 
+@query("""WITH q AS (SELECT vec_id, embedding FROM embeddings WHERE vec_id % 100 = 0), c AS (SELECT q.vec_id AS query_id, e.vec_id, round(list_cosine_similarity(e.embedding::DOUBLE[], q.embedding::DOUBLE[]), 6) AS score FROM embeddings e, q)
+SELECT query_id, vec_id, score FROM c QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 10""")
+def vector_topk_hundredth(s, d):
+    """The ten nearest of every hundredth vector, itself among them."""
+    from tidewatch.ml.search import nearest
+
+    e = table(s, d, "embeddings")
+    return nearest(e.where("vec_id % 100 = 0"), e, "vec_id", "embedding", 10, digits=6, own=True).select("query_id", F.col("hit_id").alias("vec_id"), "score")
+
+
 _DOCS = "docs AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z0-9]{2,}') AS w FROM documents WHERE text IS NOT NULL), n AS (SELECT count(*) AS n FROM docs)"
 _KEYWORD = f"""{_DOCS}, tf AS (SELECT doc_id, t, count(*) AS c FROM (SELECT doc_id, unnest(w) AS t FROM docs) GROUP BY 1, 2), df AS (SELECT t, count(*) AS df FROM tf GROUP BY t),
 wt AS (SELECT tf.doc_id, tf.t, (1 + ln(c)) * (ln((1 + n)::DOUBLE / (1 + df)) + 1) AS x FROM tf JOIN df USING (t), n), nrm AS (SELECT doc_id, sqrt(sum(x * x)) AS l FROM wt GROUP BY 1),
@@ -318,15 +328,27 @@ def rrf_fusion(s, d):
     return fuse([a, b], "doc_id").select(F.col("doc_id").alias("id"), F.round("fused", 9).alias("fused"))
 
 
+def _precision_at_5(e, queries):
+    from tidewatch.ml.search import nearest
+
+    hits = nearest(queries, e, "vec_id", "embedding", 5).join(e.select(F.col("vec_id").alias("hit_id"), F.col("label").alias("hl")), "hit_id").join(e.select(F.col("vec_id").alias("query_id"), F.col("label").alias("ql")), "query_id")
+    return hits.groupBy("query_id").agg(F.round(F.avg((F.col("hl") == F.col("ql")).cast("int")), 6).alias("precision_at_5"))
+
+
 @query("""WITH q AS (SELECT vec_id, embedding, label FROM embeddings WHERE vec_id < 20), c AS (SELECT q.vec_id AS q, q.label AS ql, e.label AS el, row_number() OVER (PARTITION BY q.vec_id ORDER BY round(list_cosine_similarity(e.embedding::DOUBLE[], q.embedding::DOUBLE[]), 9) DESC, e.vec_id) AS r FROM embeddings e JOIN q ON e.vec_id <> q.vec_id)
 SELECT q AS query_id, round(avg((ql = el)::INTEGER), 6) AS precision_at_5 FROM c WHERE r <= 5 GROUP BY q""")
 def precision_at_k(s, d):
     """Of twenty stated queries, the share of their five nearest that carry their label."""
-    from tidewatch.ml.search import nearest
+    e = table(s, d, "embeddings")
+    return _precision_at_5(e, e.where("vec_id < 20"))
 
+
+@query("""WITH q AS (SELECT vec_id, embedding, label FROM embeddings WHERE vec_id % 100 = 0), c AS (SELECT q.vec_id AS q, q.label AS ql, e.label AS el, row_number() OVER (PARTITION BY q.vec_id ORDER BY round(list_cosine_similarity(e.embedding::DOUBLE[], q.embedding::DOUBLE[]), 9) DESC, e.vec_id) AS r FROM embeddings e JOIN q ON e.vec_id <> q.vec_id)
+SELECT q AS query_id, round(avg((ql = el)::INTEGER), 6) AS precision_at_5 FROM c WHERE r <= 5 GROUP BY q""")
+def precision_at_k_hundredth(s, d):
+    """Of every hundredth vector as a query, the share of its five nearest that carry its label."""
     e = table(s, d, "embeddings")
-    hits = nearest(e.where("vec_id < 20"), e, "vec_id", "embedding", 5).join(e.select(F.col("vec_id").alias("hit_id"), F.col("label").alias("hl")), "hit_id").join(e.select(F.col("vec_id").alias("query_id"), F.col("label").alias("ql")), "query_id")
-    return hits.groupBy("query_id").agg(F.round(F.avg((F.col("hl") == F.col("ql")).cast("int")), 6).alias("precision_at_5"))
+    return _precision_at_5(e, e.where("vec_id % 100 = 0"))
 
 
 _LABELLED = "l AS (SELECT doc_id, n_chars::DOUBLE AS score, (source = 'kev_note')::INTEGER AS y FROM documents WHERE source IS NOT NULL)"
