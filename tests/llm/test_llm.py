@@ -90,6 +90,17 @@ def test_nested_and_repeatable(spark):
     assert mixing.mix(s.limit(0), t).count() == 0 and mixing.mix(s, t.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("shift", [32, 16, 0])
+def test_a_budget_that_ends_on_a_bucket_border(spark, shift):
+    """A budget met exactly at any level keeps its records, with and without a whole use of the source."""
+    at = lambda n: (5 << 32 if shift < 32 else 0) + (3 << 16 if shift < 16 else 0) + (n << shift)
+    rows = [("a", 1, 6, at(1)), ("a", 2, 4, at(2)), ("b", 3, 4, at(1)), ("b", 4, 6, at(7))]
+    s = spark.createDataFrame(rows, "source string, doc_id long, tokens long, place long")
+    t = spark.createDataFrame([("m", "a", 3.0, None), ("m", "b", 7.0, None)], "mix_name string, source string, target_weight double, max_repeats int")
+    got = {(r["source"], r["doc_id"]): r["times"] for r in mixing.mix(s, t).collect()}
+    assert got == {("a", 1): 1, ("b", 3): 2, ("b", 4): 1}  # budgets of 6 and 14
+
+
 CLEAN = ["Die Lücke betrifft Geräte größtenteils", "A vulnerabilidade não é segura após a atualização", "Уязвимость используется после входа", "The owner’s “desk” — 12–15 ms", "Złośliwe oprogramowanie łączyło się", "plain ascii only", "攻击者执行了 命令", "Ο εισβολέας εκτέλεσε την εντολή"]
 CHAINS = [[("utf-8", "cp1252")], [("utf-8", "latin-1")], [("utf-8", "cp437")], [("utf-8", "cp1251")], [("utf-8", "mac_roman")], [("utf-8", "koi8_r")], [("utf-8", "cp1252"), ("utf-8", "cp1252")], [("cp1251", "cp1252")], [("cp1252", "mac_roman")], [("cp1250", "cp1252")], [("cp866", "cp1251")], [("iso8859_7", "cp1252")]]
 

@@ -74,9 +74,10 @@ def thresholds(sized: DataFrame, wanted: DataFrame) -> DataFrame:
         up_to = Window.partitionBy("mix_name", "source").orderBy("bucket")  # at most 2**LEVEL_BITS rows
         run = hist.join(s, ["source", "prefix"]).withColumn("cum", F.sum("n").over(up_to))
         edge = run.where("cum > need").groupBy("mix_name", "source").agg(F.min(F.struct("bucket", "cum", "n")).alias("e"))
-        state = state.drop("prefix").join(edge, ["mix_name", "source"], "left").select(
+        # what is met exactly has no edge any more: its prefix stands for the first bucket of the next level
+        state = state.join(edge, ["mix_name", "source"], "left").select(
             *wanted.columns,
-            F.coalesce("e.bucket", F.lit(0)).cast("long").alias("prefix"),
+            F.coalesce("e.bucket", F.shiftleft("prefix", LEVEL_BITS)).cast("long").alias("prefix"),
             F.when(F.col("e").isNotNull(), F.col("need") - (F.col("e.cum") - F.col("e.n"))).otherwise(F.lit(0)).cast("long").alias("need"),
             F.coalesce("e.n", F.lit(0)).alias("at_edge"),
         )
