@@ -234,6 +234,24 @@ def test_rotating_log(spark, tmp_path):
     assert read() == ["half", "new", "one", "two"]
 
 
+def test_long_lines_of_a_rotating_log(spark, tmp_path):
+    """Lines of up to 8 MiB are kept; a longer one is a rejected row with its file and offset."""
+    live = tmp_path / "cowrie.json"
+    lines = [b"one", b"x" * (2 << 20), b"y" * (8 << 20), b"z" * (17 << 20), b"last"]
+    live.write_bytes(b"".join(x + b"\n" for x in lines))
+    spark.dataSource.register(rotating_log.RotatingLog)
+    q = spark.readStream.format("rotating_log").load(str(tmp_path)).writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start(str(tmp_path / "out"))
+    q.awaitTermination()
+    got = spark.read.parquet(str(tmp_path / "out")).select(F.length("line").alias("n"), "inode", "offset", "rejected").orderBy("offset").collect()
+    ends = [sum(len(x) + 1 for x in lines[: i + 1]) for i in range(len(lines))]
+    wanted = [None if len(x) > 8 << 20 else len(x) for x in lines]
+    assert [tuple(r) for r in got] == [(n, live.stat().st_ino, end, n is None) for n, end in zip(wanted, ends)]
+    for chunk in (1, 3, 100):
+        small = tmp_path / "small"
+        small.write_bytes(b"ab\n\nabcde\nabcd\n")
+        assert list(rotating_log.whole_lines(str(small), 0, 16, chunk, most=4)) == [(b"ab", 3), (None, 10), (b"abcd", 15)]
+
+
 def test_listing_parser():
     files = rotating_log.parse_listing("7\t10\tcowrie.json\n5\t20\tcowrie.json.2026-09-01\n", "cowrie.json")
     assert [f.name for f in files] == ["cowrie.json.2026-09-01", "cowrie.json"]

@@ -1,9 +1,9 @@
 """A log that rotates, followed by file identity and byte offset, as a streaming source.
 
-``spark.readStream.format("rotating_log").load(folder)`` gives ``(line, inode, offset)``.
+``spark.readStream.format("rotating_log").load(folder)`` gives ``(line, inode, offset, rejected)``.
 Only whole lines are read; a half-written one waits. A renamed file keeps its
 identity and is read on; one that shrank is read anew. A line longer than
-``maxLine`` bytes is passed over. The checkpoint holds the offsets.
+``maxLine`` bytes comes as a rejected row, without its text. The checkpoint holds the offsets.
 """
 
 from __future__ import annotations
@@ -15,6 +15,9 @@ from dataclasses import dataclass
 
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
+#: Most bytes of a line, as in the collector that this source follows.
+MAX_LINE = 8 << 20
+
 
 @dataclass(frozen=True)
 class LogFile:
@@ -48,20 +51,26 @@ def parse_listing(text: str, live: str) -> list[LogFile]:
     return sorted(files, key=lambda f: (f.name == live, f.name))
 
 
-def whole_lines(path: str, start: int, stop: int, chunk: int = 8 << 20, most: int = 1 << 20) -> Iterator[tuple[bytes, int]]:
-    """Complete lines in ``[start, stop)`` with the offset after each, in chunks; overlong lines are passed over."""
+def whole_lines(path: str, start: int, stop: int, chunk: int = MAX_LINE, most: int = MAX_LINE) -> Iterator[tuple[bytes | None, int]]:
+    """Complete lines in ``[start, stop)`` with the offset after each, in chunks; None for an overlong one, which is never held whole."""
     with open(path, "rb") as f:
         f.seek(start)
-        at, rest = start, b""
-        while at + len(rest) < stop:
-            data = f.read(min(chunk, stop - at - len(rest)))
+        at, seen, rest, dropped = start, start, b"", 0
+        while seen < stop:
+            data = f.read(min(chunk, stop - seen))
             if not data:
                 return
+            seen += len(data)
             *lines, rest = (rest + data).split(b"\n")
             for line in lines:
-                at += len(line) + 1
-                if line.strip() and len(line) <= most:
+                size, dropped = dropped + len(line), 0
+                at += size + 1
+                if size > most:
+                    yield None, at
+                elif line.strip():
                     yield line, at
+            if dropped + len(rest) > most:
+                rest, dropped = b"", dropped + len(rest)
 
 
 def end_of_lines(path: str, start: int, size: int) -> int:
@@ -115,7 +124,7 @@ class RotatingLogReader(DataSourceStreamReader):
         for f in list_logs(self.folder, self.prefix):
             if f.inode == partition.inode:
                 for line, at in whole_lines(os.path.join(self.folder, f.name), partition.start, partition.stop, most=self.most):
-                    yield line.decode("utf-8", "replace"), partition.inode, at
+                    yield None if line is None else line.decode("utf-8", "replace"), partition.inode, at, line is None
                 return
 
     def commit(self, end: dict) -> None:
@@ -131,8 +140,8 @@ class RotatingLog(DataSource):
         return "rotating_log"
 
     def schema(self) -> str:
-        return "line string, inode long, offset long"
+        return "line string, inode long, offset long, rejected boolean"
 
     def streamReader(self, schema) -> DataSourceStreamReader:
         o = self.options
-        return RotatingLogReader(o["path"], o.get("prefix", "cowrie.json"), int(o.get("maxLine", 1 << 20)))
+        return RotatingLogReader(o["path"], o.get("prefix", "cowrie.json"), int(o.get("maxLine", MAX_LINE)))
