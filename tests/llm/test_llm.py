@@ -219,3 +219,21 @@ def test_large_cluster_in_blocks(spark, monkeypatch):
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
 def test_queries_run(spark, data, name):
     assert queries.QUERIES[name](spark, data).count() > 0
+
+
+def test_typical_members_of_linked_clusters(spark, data):
+    """Sizes and nearest members of the clusters of p4_found, by plain loops."""
+    sets = defaultdict(set)
+    for r in clusters.server_features(spark.read.parquet(f"{data}/urlhaus_urls.parquet")).collect():
+        sets[r["host"]].add(r["feature"])
+    groups = defaultdict(set)
+    for r in queries.p4_found(spark, data).collect():
+        groups[r["host_a"]] |= {r["host_a"], r["host_b"]}
+    groups = {a: g for a, g in groups.items() if a == min(g) and not any(a in other for b, other in groups.items() if b < a)}
+    wanted = set()
+    for name, g in groups.items():
+        w = Counter(f for h in g for f in sets[h])
+        far = {h: round(sum(((f in sets[h]) - n / len(g)) ** 2 for f, n in w.items()) ** 0.5, 6) for h in g}
+        wanted |= {(name, len(g), i, h) for i, h in enumerate(sorted(g, key=lambda h: (far[h], h))[:5], 1)}
+    got = queries.p4_typical(spark, data).collect()
+    assert wanted and {(r["cluster"], r["members"], r["rank"], r["host"]) for r in got} == wanted and len(got) == len(wanted)

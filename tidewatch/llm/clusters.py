@@ -2,8 +2,8 @@
 
 Records with equal feature sets share a profile. Profiles are vectorised with
 hashed features weighted by rarity, and divided into cells by distributed
-k-means, seeded in parallel with oversampling. The cells are the clusters that
-``described`` reports, with their size and the members nearest each centroid.
+k-means, seeded in parallel with oversampling. ``described`` reports the cells,
+with their size and the members nearest each centroid; ``typical_members`` the linked clusters.
 
 Clusters by linked likeness (``linked``) are made on the cells: a profile
 lies in its own cell and visits every other cell where it could have a partner; pairs
@@ -117,6 +117,25 @@ def linked(celled: DataFrame, hosts: DataFrame, least: int = LEAST_CLUSTER) -> D
     return hosts.join(member.join(size, "cluster").select("profile", "cluster", "size"), "profile").select("host", "cluster", "size")
 
 
+def typical_members(clustered: DataFrame, celled: DataFrame, hosts: DataFrame, typical: int = 5) -> DataFrame:
+    """``(cluster, members, rank, host, distance)``: size and most typical members of the linked clusters, nearest first.
+
+    A cluster is named by its first host. Its centroid is the mean of its members' sets of features,
+    as vectors of zeros and ones; ties go by host.
+    """
+    named = clustered.groupBy("cluster").agg(F.min("host").alias("name"))
+    own = clustered.join(hosts, "host").select("profile", "cluster", "size").distinct().join(celled.select("profile", "features", "n", "hosts"), "profile")
+    flat = own.select("profile", "cluster", "size", "n", "hosts", F.explode("features").alias("feature"))
+    centre = flat.groupBy("cluster", "feature").agg((F.sum("hosts") / F.max("size")).alias("w"))
+    length = centre.groupBy("cluster").agg(F.sum(F.col("w") * F.col("w")).alias("c2"))
+    dots = flat.join(centre, ["cluster", "feature"]).groupBy("cluster", "profile", "n").agg(F.sum("w").alias("dot"))
+    near = dots.join(length, "cluster").select("cluster", "profile", F.round(F.sqrt(F.greatest(F.col("n") - 2 * F.col("dot") + F.col("c2"), F.lit(0.0))), 6).alias("distance"))
+    order = Window.partitionBy("cluster").orderBy("distance", "host")
+    ranked = near.join(hosts, "profile").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= typical)
+    sizes = clustered.select("cluster", "size").distinct()
+    return ranked.join(sizes, "cluster").join(named, "cluster").select(F.col("name").alias("cluster"), F.col("size").alias("members"), "rank", "host", "distance")
+
+
 def pairs(clustered: DataFrame) -> DataFrame:
     """``(host_a, host_b)``: every pair of one cluster, smaller first, in blocks so that no task holds a large cluster."""
     n = F.ceil(F.col("size") / F.lit(PAIR_BLOCK)).cast("int")

@@ -23,6 +23,12 @@ def p4_clusters(spark: SparkSession, d: str) -> DataFrame:
     return clusters.described(*_celled(spark, d))
 
 
+def p4_typical(spark: SparkSession, d: str) -> DataFrame:
+    """The clusters of ``p4_found``: size and most typical members."""
+    celled, hosts = _celled(spark, d)
+    return clusters.typical_members(settle(clusters.linked(celled, hosts), "linked"), celled, hosts)
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return tokens.encode(table(spark, d, "documents"), "doc_id", "text")
 
@@ -53,5 +59,5 @@ def p10_restored(spark: SparkSession, d: str) -> DataFrame:
     return garbled.restored(table(spark, d, "documents"), "doc_id", "text")
 
 
-QUERIES = {f.__name__: f for f in (p4_found, p4_clusters, p8_ids, p8_round_trip, p9_mix, p9_shares, p10_found, p10_restored)}
+QUERIES = {f.__name__: f for f in (p4_found, p4_clusters, p4_typical, p8_ids, p8_round_trip, p9_mix, p9_shares, p10_found, p10_restored)}
 SQL = {"p8_round_trip": "SELECT doc_id, coalesce(text, '') AS text FROM documents"}
