@@ -153,8 +153,11 @@ def test_digits_and_positions_survive_restoring(spark):
 def test_reading_back():
     for t in ("é", "naïve", "Привет", "日本"):
         for chain in CHAINS[:3]:
-            assert encodings.undo(garble(t, chain) or "Ã©")[0] in (t, "é") or not garble(t, chain)
-    assert encodings.undo("é") is None and encodings.undo("ção") is None
+            if wrong := garble(t, chain):
+                [run] = encodings.BEYOND.findall(wrong)
+                assert encodings.BEYOND.findall(t)[0] in {r for r, _ in encodings.readings(run)}
+    assert not list(encodings.readings("é")) and not list(encodings.readings("ção"))
+    assert all(encodings.oddness(w) == 0 for w in ("é", "łączyło", "owner’s", "“desk”", "người", "Vault®")) and all(encodings.oddness(w) > 0 for w in ("Ã©", "Â£", "mo¿e", "óÿçâèìîñòü"))
 
 
 def brute_pairs(features, least):
@@ -237,3 +240,34 @@ def test_typical_members_of_linked_clusters(spark, data):
         wanted |= {(name, len(g), i, h) for i, h in enumerate(sorted(g, key=lambda h: (far[h], h))[:5], 1)}
     got = queries.p4_typical(spark, data).collect()
     assert wanted and {(r["cluster"], r["members"], r["rank"], r["host"]) for r in got} == wanted and len(got) == len(wanted)
+
+
+def test_short_passages_alone(spark):
+    """Two characters are enough, and so is one document."""
+    lone = ["Ã©", "Â£", "â€™", "cafÃ©", "Ã\xa0", "â€œ", "Ã¯", "Ã©Ã©", "‚Äô", "├⌐"]
+    rows = [(i, f"à la carte é costs £{i} — the owner’s “café” is naïve") for i in range(20)] + [(100 + i, f"some {t} here") for i, t in enumerate(lone)]
+    assert {r["doc_id"] for r in garbled.found(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text").collect()} == set(range(100, 100 + len(lone)))
+
+
+EVEN = {
+    "ru": ["Уязвимость используется после входа", "Вредоносная программа обнаружена", "Система была заражена"],
+    "el": ["Ο εισβολέας εκτέλεσε την εντολή", "κακόβουλο λογισμικό βρέθηκε", "η ευπάθεια αυτή"],
+    "pt": ["A vulnerabilidade não é segura após a atualização", "informação do usuário está disponível", "a invasão já começou"],
+    "pl": ["Złośliwe oprogramowanie łączyło się z siecią", "może będzie wiadomość później", "użytkownik wysłał żądanie"],
+    "zh": ["攻击者执行了 命令", "恶意软件 被发现", "服务器已经被感染"],
+}
+
+
+@pytest.mark.parametrize("lang, chain", [("pl", ("cp1250", "cp1252")), ("pl", ("iso8859_2", "cp1252")), ("ru", ("cp1251", "cp1252")), ("ru", ("cp1251", "koi8_r")), ("ru", ("koi8_r", "cp1251")), ("ru", ("cp866", "cp1251")), ("el", ("iso8859_7", "cp1252")), ("pt", ("cp1252", "mac_roman")), ("pt", ("mac_roman", "cp1252")), ("pt", ("cp1252", "cp437")), ("zh", ("gbk", "cp1252")), ("pt", ("utf-8", "gbk")), ("ru", ("utf-8", "cp1251"))])
+def test_a_corpus_garbled_by_half(spark, lang, chain):
+    """As many wrong copies as right ones: looks decide, not frequency."""
+    rows = list(enumerate(EVEN[lang])) + [(100 + i, garble(t, [chain])) for i, t in enumerate(EVEN[lang])]
+    assert {r["doc_id"] for r in garbled.found(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text").collect()} == {100, 101, 102}
+
+
+def test_words_that_no_clean_text_has(spark):
+    """A garbled word without a clean copy is cut into the forms of known characters."""
+    rows = [(1, "não ação"), (2, "são lições"), (3, "攻击者执行了命令"), (4, "命令执行者攻击了"), (9, garble("poção", [("utf-8", "cp1252")])), (10, garble("执行命令者", [("gbk", "cp1252")])), (11, garble("poção", [("utf-8", "cp1252"), ("utf-8", "cp1252")]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["doc_id"] for r in garbled.found(df, "doc_id", "text").collect()} == {9, 10, 11}
+    assert {r["doc_id"]: r["text"] for r in garbled.restored(df, "doc_id", "text").collect()} == {9: "poção", 10: "执行命令者", 11: "poção"}

@@ -8,6 +8,7 @@ control characters, dropped, or replaced by U+FFFD; only the first loses nothing
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -123,12 +124,31 @@ def garbled_forms(word: str) -> Iterator[tuple[str, str, bool]]:
                 yield form, f"{written}>{reader}", not lost
 
 
-def undo(run: str, depth: int = 3) -> tuple[str, str] | None:
-    """The text and chain of a run beyond ASCII that is UTF-8 read in a single-byte encoding, up to ``depth`` times; else None."""
-    for reader in UTF8_READERS:
-        if _single(reader) is None:
-            continue
-        raw = written_in(run, reader)
+def forward(text: str, chain: str) -> str | None:
+    """``text`` under a chain such as ``utf-8>cp1252>cp1252``; None where a step loses something."""
+    written, *readers = chain.split(">")
+    for reader in readers:
+        raw = written_in(text, written)
+        if raw is None:
+            return None
+        text, lost = read_as(raw, reader, KEEP)
+        if lost:
+            return None
+        written = "utf-8"
+    return text
+
+
+#: Encodings of two bytes a character, whose readings in a single-byte one can be cut into characters again.
+PAIRED = tuple((w, r) for w, r in LEGACY if _single(w) is None and w != "utf-8" and _single(r) is not None)
+
+
+def readings(run: str, depth: int = 3) -> Iterator[tuple[str, str]]:
+    """``(text, chain)``: what a run beyond ASCII may have been, by every chain whose reading can be cut into characters.
+
+    These are UTF-8 read in a single-byte encoding, up to ``depth`` times, and the older encodings of several bytes.
+    """
+    for reader in UTF8_READERS if len(run) > 1 else ():
+        raw = written_in(run, reader) if _single(reader) is not None else None
         if raw is None:
             continue
         try:
@@ -136,6 +156,62 @@ def undo(run: str, depth: int = 3) -> tuple[str, str] | None:
         except UnicodeDecodeError:
             continue
         if len(text) < len(run):
-            deeper = undo(text, depth - 1) if depth > 1 and not text.isascii() else None
-            return (deeper[0], f"{deeper[1]}>{reader}") if deeper else (text, f"utf-8>{reader}")
-    return None
+            yield text, f"utf-8>{reader}"
+            if depth > 1 and not text.isascii():
+                yield from ((t, f"{c}>{reader}") for t, c in readings(text, depth - 1) if c.startswith("utf-8>"))
+    for written, reader in PAIRED if len(run) > 5 and depth == 3 else ():
+        raw = written_in(run, reader)
+        try:
+            text = raw.decode(written) if raw is not None else ""
+        except UnicodeDecodeError:
+            continue
+        if len(text) * 2 <= len(run) and text:
+            yield text, f"{written}>{reader}"
+
+
+@lru_cache(maxsize=65536)
+def _kind(c: str) -> tuple[str, str]:
+    """``(category, script)`` of a character; the script is the first word of its name, one for all of East Asia."""
+    category = unicodedata.category(c)
+    if c in "\u00aa\u00ba\u00b5" or category == "Lm":  # letters by name, signs by use
+        return "So", ""
+    script = unicodedata.name(c, "").split(" ")[0] if category[0] == "L" else ""
+    return category, "EAST" if script in ("CJK", "HIRAGANA", "KATAKANA", "HANGUL", "BOPOMOFO") else script
+
+
+def oddness(word: str) -> int:
+    """How unlike a written word: control characters, signs among letters, scripts and cases mixed within it, rows of accented letters. 0 for plain words.
+
+    A word all in capitals counts 1, less than anything else. Marks such as (TM) or degrees beside an ASCII letter at either end are usual.
+    """
+    kinds = [_kind(c) for c in word]
+    odd, accented, upper, letters = 0, 0, 0, 0
+    for i, (c, (category, script)) in enumerate(zip(word, kinds)):
+        before = kinds[i - 1] if i else ("", "")
+        after = kinds[i + 1] if i + 1 < len(word) else ("", "")
+        if category in ("Cc", "Cn", "Co", "Cs"):
+            odd += 8
+        elif category[0] == "S" or category == "No":
+            edge = c in "\u2122\u00ae\u00a9\u00b0" and (not i or not after[0]) and (word[i - 1] if i else word[i + 1 : i + 2]).isascii()
+            odd += 4 if (before[1] or after[1]) and not edge else 0
+        elif category[0] == "P":
+            odd += 2 if before[1] and (after[1] and c not in "\u2019\u2018\u2013\u2014\u2010\u2011\u00b7\u30fb" or c in "\u00bf\u00a1") else 0
+        if script:
+            letters += 1
+            upper += category == "Lu"
+            if before[1] and before[1] != script:
+                odd += 2 if "EAST" in (script, before[1]) else 4
+            elif before[0] == "Ll" and category == "Lu":
+                odd += 2
+            elif category == "Ll" and before[0] == "Lu" and i > 1 and kinds[i - 2][0] == "Lu" and (ord(c) > 127 or ord(word[i - 1]) > 127):
+                odd += 2
+            accented = accented + 1 if script == "LATIN" and ord(c) > 127 else 0
+            odd += 2 * (accented > 2)
+        else:
+            accented = 0
+    return odd + (letters > 2 and upper == letters)
+
+
+def scripts(word: str) -> str:
+    """The scripts of a word's letters, in order of their names."""
+    return " ".join(sorted({k[1] for k in map(_kind, word) if k[1]}))

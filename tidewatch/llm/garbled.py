@@ -1,15 +1,17 @@
 """Texts read in the wrong character encoding: found, and restored where nothing was lost.
 
-Every distinct word of the corpus that has a character beyond ASCII is put
-through all chains of wrong readings. A token of a document is garbled if it is
-such a form of another corpus word: by a chain that starts from UTF-8 and loses nothing, or by
-any other if that word stands in at least ``RATIO`` times as many documents.
-Forms are joined with the distinct tokens first, so that documents meet only the few garbled ones. Words are
-compared with every run of digits as one ``0``.
-
-A form counts as evidence only with three characters, or two of which one is
-ASCII; shorter ones are restored only in a document that has evidence of the same chain. U+FFFD is always evidence.
-Tokens that no corpus word explains are checked by reading them back: UTF-8 whose every character the corpus knows.
+The form table: every distinct clean word of the corpus with a character beyond
+ASCII, and every character of those words that two documents have, is put through all chains
+of wrong readings. The distinct tokens of the documents are joined with it by
+hash, whole, or cut into the characters that a chain would have made (``encodings.readings``);
+documents meet only the few garbled ones. Words are compared with every run of
+digits as one ``0``.
+
+A form and its original both stand in the corpus; which of them is the wrong one is decided by what they look like
+(``encodings.oddness``), at any length and any frequency: wrong readings leave signs, mixed scripts and rows of accented letters.
+A form that looks no odder than its original counts if it is a whole word by a chain that starts from UTF-8 and
+loses nothing; if the chain has given odd forms elsewhere in the corpus, and its reverse hasn't; or
+if the original stands in ``RATIO`` times as many documents. U+FFFD is always evidence.
 Null and empty texts aren't garbled; repeated documents are found each.
 """
 
@@ -24,11 +26,13 @@ from pyspark.sql import functions as F
 from tidewatch.llm import encodings as enc
 from tidewatch.storage import settle
 
+#: How many times as common the original of a form must be that neither its looks nor its chain decides.
 RATIO = 2
-#: How many times as common the original of a form without evidence of its own must be.
-WEAK_RATIO = 10
+#: Odd forms that a chain must have given before it decides about forms that look as plain as their originals.
+VOTES = 3
 _TOKENS = r"(?<![0-9A-Za-z\x{80}-\x{10ffff}])[0-9A-Za-z]*+[\x{80}-\x{10ffff}][0-9A-Za-z\x{80}-\x{10ffff}]*+"
-_STRONG = "(length({0}) >= 3 or (length({0}) = 2 and {0} rlike '[\\\\x00-\\\\x7f]'))"
+_LOOKS = "tok string, n long, odd int, scripts string, clean boolean, read array<struct<text: string, odd: int, chain: string, pieces: array<string>>>"
+_FORMS = "tok string, original string, n_original long, odd_original int, scripts_original string, is_char boolean, chain string, lossless boolean"
 
 
 def document_tokens(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -38,51 +42,93 @@ def document_tokens(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.where(t.rlike(r"[^\x00-\x7f]")).select(F.col(key).alias("key"), F.xxhash64(t, F.length(t)).alias("h"), F.explode(toks).alias("tok"))
 
 
-def _forms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        rows = [(form, w, n, chain, ok) for w, n in zip(pdf["tok"], pdf["n"]) if "�" not in w for form, chain, ok in enc.garbled_forms(w)]
-        yield pd.DataFrame(rows, columns=["tok", "original", "n_original", "chain", "lossless"])
-
+def _read_back(tok: str, odd: int) -> list[dict]:
+    """What a token may have been, chain by chain, with the forms of the characters that each would have garbled."""
+    runs = set(enc.BEYOND.findall(tok))
+    by_chain: dict[str, dict[str, str]] = {}
+    for run in runs:
+        for text, chain in enc.readings(run):
+            by_chain.setdefault(chain, {})[run] = text
+    out = []
+    for chain, back in by_chain.items():
+        text = enc.BEYOND.sub(lambda m, back=back: back.get(m.group(), m.group()), tok)
+        pieces = {enc.forward(c, chain) for t in back.values() for c in t}
+        if None not in pieces and (looks := enc.oddness(text)) < odd:
+            out.append({"text": text, "odd": looks, "chain": chain, "pieces": sorted(pieces)})
+    return out
 
-def _undone(alphabet: str):
-    known = frozenset(alphabet)
 
-    def undo(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows = []
-            for tok in pdf["tok"]:
-                chain = None
-
-                def back(m, whole=tok):
-                    nonlocal chain
-                    found = enc.undo(m.group()) if len(m.group()) > 2 or m.group() != whole else None
-                    if not found or not known.issuperset(c for c in found[0] if ord(c) > 127):
-                        return m.group()
-                    chain = found[1]
-                    return found[0]
+def _looks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        rows = []
+        for tok, n in zip(pdf["tok"], pdf["n"]):
+            odd = enc.oddness(tok)
+            read = _read_back(tok, odd) if "�" not in tok and odd else []
+            rows.append((tok, n, odd, enc.scripts(tok), "�" not in tok and not any(r["chain"].startswith("utf-8>") for r in read), read))
+        yield pd.DataFrame(rows, columns=["tok", "n", "odd", "scripts", "clean", "read"])
 
-                text = enc.BEYOND.sub(back, tok)
-                if chain:
-                    rows.append((tok, text, 0, chain, True, True))
-            yield pd.DataFrame(rows, columns=["tok", "original", "n_original", "chain", "lossless", "strong"])
 
-    return undo
+def _forms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        rows = [(form, *src, chain, ok) for src in pdf.itertuples(index=False, name=None) for form, chain, ok in enc.garbled_forms(src[0])]
+        yield pd.DataFrame(rows, columns=["tok", "original", "n_original", "odd_original", "scripts_original", "is_char", "chain", "lossless"])
+
+
+def _tasks(df: DataFrame) -> int:
+    """Tasks for work that a small table multiplies: all cores, however few bytes it has."""
+    spark = df.sparkSession
+    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def form_table(words: DataFrame) -> DataFrame:
+    """The forms of all clean ``words`` and of the characters that stand in at least two documents."""
+    clean = words.where("clean")
+    whole = clean.select(F.col("tok").alias("original"), F.col("n").alias("n_original"), F.col("odd").alias("odd_original"), F.col("scripts").alias("scripts_original"), F.lit(False).alias("is_char"))
+    chars = clean.select("n", "scripts", F.explode(F.array_distinct(F.split("tok", ""))).alias("original")).where(r"original rlike '[^\\x00-\\x7f]'")
+    chars = chars.groupBy("original").agg(F.sum("n").alias("n_original"), F.min(F.when(~F.col("scripts").contains(" "), F.col("scripts"))).alias("_s")).where("n_original > 1")
+    sources = whole.unionByName(chars.select("original", "n_original", F.lit(0).alias("odd_original"), F.coalesce("_s", F.lit("")).alias("scripts_original"), F.lit(True).alias("is_char")))
+    return sources.repartition(_tasks(words), "original").mapInPandas(_forms, _FORMS)
+
+
+def _strong(hits: DataFrame) -> DataFrame:
+    """``hits`` with ``strong``: whether the form alone shows that its document is garbled."""
+    utf8 = F.col("chain").startswith("utf-8>") & F.col("lossless")
+    long_enough = (F.length("tok") > 2) | ((F.length("tok") == 2) & F.col("tok").rlike("[\\x00-\\x7f]"))
+    odder, level = F.col("odd") > F.col("odd_original"), F.col("odd") == F.col("odd_original")
+    pair = F.split("chain", ">")
+    # a row per chain: as many as the chains are
+    votes = hits.where(~utf8 & F.col("lossless") & odder & (F.length("tok") > 3)).groupBy("chain").agg(F.count(F.lit(1)).alias("votes"))
+    against = votes.where("size(split(chain, '>')) = 2").select(F.concat_ws(">", pair[1], pair[0]).alias("chain"), F.col("votes").alias("against"))
+    h = hits.join(F.broadcast(votes), "chain", "left").join(F.broadcast(against), "chain", "left").na.fill(0, ["votes", "against"])
+    voted = F.col("lossless") & (F.length("tok") > 3) & (F.col("votes") >= VOTES) & (F.col("votes") > 2 * F.col("against"))
+    plain = F.when(utf8, (~F.col("is_char") & (F.length("tok") > 2)) | (F.col("scripts").isin(F.col("scripts_original"), F.lit("")) & (F.col("n_original") >= F.col("n")))).otherwise(~F.col("is_char") & long_enough & (voted | (F.col("n_original") >= RATIO * F.col("n"))))
+    # bytes of another encoding that are valid UTF-8 are a garbled text put right; what loses something counts by frequency
+    repaired = F.col("chain").endswith(">utf-8")
+    common = ~F.col("is_char") & long_enough & (F.col("n_original") >= RATIO * F.col("n"))
+    sure = F.when(repaired, ~odder & common & ~F.col("lossless")).when(odder, utf8 | (~F.col("is_char") & long_enough)).when(level, plain).otherwise(F.lit(False))
+    return h.withColumn("strong", sure).drop("votes", "against")
 
 
 def garbled_tokens(tokens: DataFrame) -> DataFrame:
-    """``(tok, original, n_original, chain, lossless, strong)`` of the distinct tokens that are garbled forms, the likeliest original of each."""
-    vocabulary = settle(tokens.groupBy("tok").agg(F.count(F.lit(1)).alias("n")), "vocabulary")
-    forms = vocabulary.mapInPandas(_forms, "tok string, original string, n_original long, chain string, lossless boolean")
-    hits = forms.join(vocabulary, "tok").withColumn("strong", F.expr(_STRONG.format("tok")))
-    likely = F.when(F.col("strong"), (F.col("chain").startswith("utf-8>") & F.col("lossless")) | (F.col("n_original") >= RATIO * F.col("n"))).otherwise(F.col("n_original") >= WEAK_RATIO * F.col("n"))
-    best = hits.where(likely).groupBy("tok").agg(F.max(F.struct("n_original", "lossless", "original", "chain", "strong")).alias("b"))
-    table = settle(best.select("tok", "b.original", "b.n_original", "b.chain", "b.lossless", "b.strong"), "garbled")
-    rest = vocabulary.join(table, "tok", "left_anti").where(~F.col("tok").contains("�"))
-    # the characters of the corpus's common words: no more than Unicode has
-    common = rest.where("n > 1").select(F.explode(F.array_distinct(F.split("tok", ""))).alias("c")).where(r"c rlike '[^\\x00-\\x7f]'").groupBy("c").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    alphabet = "".join(r["c"] for r in common.collect())
-    more = rest.where("length(tok) > 1").mapInPandas(_undone(alphabet), "tok string, original string, n_original long, chain string, lossless boolean, strong boolean")
-    return settle(table.unionByName(more), "garbled-all")
+    """``(tok, original, n_original, chain, lossless, strong)`` of the distinct tokens that are garbled forms, the likeliest original of each.
+
+    Not ``strong`` are forms that are only restored, and only in a document that has evidence of the same chain.
+    """
+    counted = tokens.groupBy("tok").agg(F.count(F.lit(1)).alias("n"))
+    words = settle(counted.repartition(_tasks(tokens), "tok").mapInPandas(_looks, _LOOKS), "vocabulary")
+    # what a token could have been: a form as a whole, or the forms of some characters one after the other
+    cut = words.select("tok", F.explode("read").alias("r")).select("tok", "r.text", "r.chain", F.size("r.pieces").alias("need"), F.explode("r.pieces").alias("piece"))
+    wanted = words.select("tok", F.col("tok").alias("piece"), F.lit(None).cast("string").alias("by"), F.lit(None).cast("string").alias("text"), F.lit(1).alias("need")).unionByName(cut.select("tok", "piece", F.col("chain").alias("by"), "text", "need"))
+    forms = form_table(words).withColumnRenamed("tok", "piece")
+    met = settle(forms.join(wanted, "piece").where("by is null or (is_char and lossless and by = chain)"), "forms-met")
+    looks = words.select("tok", "n", "odd", "scripts")
+    whole = _strong(met.where("by is null").drop("piece", "by", "text", "need").join(looks, "tok"))
+    parts = met.where("by is not null").groupBy("tok", "text", "chain", "need").agg(F.countDistinct("piece").alias("got"), F.min("n_original").alias("n_original")).where("got = need")
+    parts = parts.select("tok", F.col("text").alias("original"), "n_original", "chain", F.lit(True).alias("lossless"), F.lit(True).alias("strong"), F.lit(0).alias("word"))
+    likely = F.col("strong") | (F.col("n_original") >= RATIO * F.col("n"))
+    every = whole.where(likely).select("tok", "original", "n_original", "chain", "lossless", "strong", (~F.col("is_char")).cast("int").alias("word")).unionByName(parts)
+    best = every.groupBy("tok").agg(F.max(F.struct("strong", "lossless", "word", "n_original", "original", "chain")).alias("b"))
+    return settle(best.select("tok", "b.original", "b.n_original", "b.chain", "b.lossless", "b.strong"), "garbled")
 
 
 def found(docs: DataFrame, key: str, text: str) -> DataFrame:
