@@ -271,3 +271,10 @@ def test_words_that_no_clean_text_has(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert {r["doc_id"] for r in garbled.found(df, "doc_id", "text").collect()} == {9, 10, 11}
     assert {r["doc_id"]: r["text"] for r in garbled.restored(df, "doc_id", "text").collect()} == {9: "poção", 10: "执行命令者", 11: "poção"}
+
+
+def test_common_clean_words_stay_clean(spark):
+    """A reverse chain makes a common, clean word of a rare, garbled one; box drawing is no text."""
+    rows = [(i, f"the week… of “the header” takes 5µs at ├┤ with ô and Windows® {i}") for i in range(60)] + [(100 + i, garble("week… “the header” 5µs", [("cp1252", "cp850")])) for i in range(2)]
+    got = {r["doc_id"] for r in garbled.found(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text").collect()}
+    assert not {d for d in got if d < 100}

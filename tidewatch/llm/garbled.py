@@ -8,9 +8,10 @@ documents meet only the few garbled ones. Words are compared with every run of
 digits as one ``0``.
 
 A form and its original both stand in the corpus; which of them is the wrong one is decided by what they look like
-(``encodings.oddness``), at any length and any frequency: wrong readings leave signs, mixed scripts and rows of accented letters.
-A form that looks no odder than its original counts if it is a whole word by a chain that starts from UTF-8 and
-loses nothing; if the chain has given odd forms elsewhere in the corpus, and its reverse hasn't; or
+(``encodings.oddness``): wrong readings leave signs, mixed scripts and rows of accented letters. A form by a chain that starts
+from UTF-8 and loses nothing counts at any length and frequency if it looks odder than its original, or is a whole word;
+by any other chain, each point that it looks odder outweighs a factor of two in frequency.
+A form that looks no odder counts if its chain has given odd forms elsewhere in the corpus, its reverse hasn't, and the original is no rarer; or
 if the original stands in ``RATIO`` times as many documents. U+FFFD is always evidence.
 Null and empty texts aren't garbled; repeated documents are found each.
 """
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.llm import encodings as enc
-from tidewatch.storage import settle
+from tidewatch.storage import settle, tasks
 
 #: How many times as common the original of a form must be that neither its looks nor its chain decides.
 RATIO = 2
@@ -74,12 +75,6 @@ def _forms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["tok", "original", "n_original", "odd_original", "scripts_original", "is_char", "chain", "lossless"])
 
 
-def _tasks(df: DataFrame) -> int:
-    """Tasks for work that a small table multiplies: all cores, however few bytes it has."""
-    spark = df.sparkSession
-    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-
-
 def form_table(words: DataFrame) -> DataFrame:
     """The forms of all clean ``words`` and of the characters that stand in at least two documents."""
     clean = words.where("clean")
@@ -87,25 +82,26 @@ def form_table(words: DataFrame) -> DataFrame:
     chars = clean.select("n", "scripts", F.explode(F.array_distinct(F.split("tok", ""))).alias("original")).where(r"original rlike '[^\\x00-\\x7f]'")
     chars = chars.groupBy("original").agg(F.sum("n").alias("n_original"), F.min(F.when(~F.col("scripts").contains(" "), F.col("scripts"))).alias("_s")).where("n_original > 1")
     sources = whole.unionByName(chars.select("original", "n_original", F.lit(0).alias("odd_original"), F.coalesce("_s", F.lit("")).alias("scripts_original"), F.lit(True).alias("is_char")))
-    return sources.repartition(_tasks(words), "original").mapInPandas(_forms, _FORMS)
+    return sources.repartition(tasks(words.sparkSession), "original").mapInPandas(_forms, _FORMS)
 
 
 def _strong(hits: DataFrame) -> DataFrame:
     """``hits`` with ``strong``: whether the form alone shows that its document is garbled."""
     utf8 = F.col("chain").startswith("utf-8>") & F.col("lossless")
     long_enough = (F.length("tok") > 2) | ((F.length("tok") == 2) & F.col("tok").rlike("[\\x00-\\x7f]"))
+    boxes = F.col("tok").rlike("^[\\x{2500}-\\x{259f}]+$")  # lines of tables and bars
     odder, level = F.col("odd") > F.col("odd_original"), F.col("odd") == F.col("odd_original")
     pair = F.split("chain", ">")
     # a row per chain: as many as the chains are
     votes = hits.where(~utf8 & F.col("lossless") & odder & (F.length("tok") > 3)).groupBy("chain").agg(F.count(F.lit(1)).alias("votes"))
     against = votes.where("size(split(chain, '>')) = 2").select(F.concat_ws(">", pair[1], pair[0]).alias("chain"), F.col("votes").alias("against"))
     h = hits.join(F.broadcast(votes), "chain", "left").join(F.broadcast(against), "chain", "left").na.fill(0, ["votes", "against"])
-    voted = F.col("lossless") & (F.length("tok") > 3) & (F.col("votes") >= VOTES) & (F.col("votes") > 2 * F.col("against"))
+    voted = F.col("lossless") & (F.length("tok") > 3) & (F.col("n_original") >= F.col("n")) & (F.col("votes") >= VOTES) & (F.col("votes") > 2 * F.col("against"))
     plain = F.when(utf8, (~F.col("is_char") & (F.length("tok") > 2)) | (F.col("scripts").isin(F.col("scripts_original"), F.lit("")) & (F.col("n_original") >= F.col("n")))).otherwise(~F.col("is_char") & long_enough & (voted | (F.col("n_original") >= RATIO * F.col("n"))))
     # bytes of another encoding that are valid UTF-8 are a garbled text put right; what loses something counts by frequency
     repaired = F.col("chain").endswith(">utf-8")
     common = ~F.col("is_char") & long_enough & (F.col("n_original") >= RATIO * F.col("n"))
-    sure = F.when(repaired, ~odder & common & ~F.col("lossless")).when(odder, utf8 | (~F.col("is_char") & long_enough)).when(level, plain).otherwise(F.lit(False))
+    sure = F.when(repaired, ~odder & common & ~F.col("lossless")).when(odder, utf8 | (~F.col("is_char") & long_enough & (F.col("n_original") * F.pow(F.lit(2.0), F.col("odd") - F.col("odd_original")) >= F.col("n")))).when(level & ~boxes, plain).otherwise(F.lit(False))
     return h.withColumn("strong", sure).drop("votes", "against")
 
 
@@ -115,12 +111,13 @@ def garbled_tokens(tokens: DataFrame) -> DataFrame:
     Not ``strong`` are forms that are only restored, and only in a document that has evidence of the same chain.
     """
     counted = tokens.groupBy("tok").agg(F.count(F.lit(1)).alias("n"))
-    words = settle(counted.repartition(_tasks(tokens), "tok").mapInPandas(_looks, _LOOKS), "vocabulary")
+    words = settle(counted.repartition(tasks(tokens.sparkSession), "tok").mapInPandas(_looks, _LOOKS), "vocabulary")
     # what a token could have been: a form as a whole, or the forms of some characters one after the other
     cut = words.select("tok", F.explode("read").alias("r")).select("tok", "r.text", "r.chain", F.size("r.pieces").alias("need"), F.explode("r.pieces").alias("piece"))
     wanted = words.select("tok", F.col("tok").alias("piece"), F.lit(None).cast("string").alias("by"), F.lit(None).cast("string").alias("text"), F.lit(1).alias("need")).unionByName(cut.select("tok", "piece", F.col("chain").alias("by"), "text", "need"))
     forms = form_table(words).withColumnRenamed("tok", "piece")
-    met = settle(forms.join(wanted, "piece").where("by is null or (is_char and lossless and by = chain)"), "forms-met")
+    # the forms are some hundred times what their size is guessed from: never broadcast
+    met = settle(forms.hint("merge").join(wanted.hint("merge"), "piece").where("by is null or (is_char and lossless and by = chain)"), "forms-met")
     looks = words.select("tok", "n", "odd", "scripts")
     whole = _strong(met.where("by is null").drop("piece", "by", "text", "need").join(looks, "tok"))
     parts = met.where("by is not null").groupBy("tok", "text", "chain", "need").agg(F.countDistinct("piece").alias("got"), F.min("n_original").alias("n_original")).where("got = need")
