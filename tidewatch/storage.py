@@ -60,6 +60,11 @@ def settle(df: DataFrame, name: str = "step") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def tasks(spark: SparkSession) -> int:
+    """Tasks for work that a small table multiplies: all cores, however few bytes it has."""
+    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def fresh(taken: list[str], name: str) -> str:
     """``name``, lengthened until it clashes with none of ``taken`` (case-blind, as Spark resolves names)."""
     low = {c.lower() for c in taken}
