@@ -39,7 +39,7 @@ def p8_round_trip(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _sized(spark: SparkSession, d: str) -> DataFrame:
-    return mixing.sized_documents(table(spark, d, "documents"), tokens.count_tokens())
+    return mixing.sized_documents(table(spark, d, "documents"))
 
 
 def p9_mix(spark: SparkSession, d: str) -> DataFrame:

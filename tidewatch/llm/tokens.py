@@ -1,8 +1,10 @@
 """A corpus as ids of a public tokenizer, through a table of its distinct words.
 
 Texts are split into words in the JVM. Every distinct word is encoded once. The ids are
-joined back by position: the commonest short words by a broadcast of bounded
-size, all others by a shuffled join, so that no hot word meets in one task. The vocabulary files are read
+joined back by position: a text's words are looked up among the commonest short ones, which are
+sent to every task (a bounded table), and each distinct word that isn't among them is
+left as a number; only these rare words, once per text, are joined with the word table by a
+shuffle. So no hot word meets in one task, and texts whose words are all common aren't moved. The vocabulary files are read
 from a path that every executor must have; they are never copied.
 
 Null, empty and only such texts have no ids: an empty list.
@@ -11,14 +13,14 @@ Null, empty and only such texts have no ids: an empty list.
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.storage import settle
+from tidewatch.storage import settle, tasks
 
 #: Where the public vocabularies lie.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -51,25 +53,56 @@ def words_of(text: Column) -> Column:
 def word_ids(words: DataFrame, path: str) -> DataFrame:
     """``(word, n)`` with each word's ids."""
 
-    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def ids(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enc = encoding(path)
         for pdf in batches:
             yield pdf.assign(ids=[enc.encode_ordinary(w) for w in pdf["word"]])
 
-    return words.mapInPandas(encode, "word string, n long, ids array<int>")
+    return words.repartition(tasks(words.sparkSession), "word").mapInPandas(ids, "word string, n long, ids array<int>")
 
 
-def encode(docs: DataFrame, key: str, text: str, path: str = VOCABULARY) -> DataFrame:
-    """``(key, ids)`` with a row for every row of ``docs``; repeated and null keys keep their own rows."""
-    split = settle(docs.select(F.monotonically_increasing_id().alias("_row"), F.col(key).alias("_key"), words_of(F.col(text)).alias("_words")), "words")
-    table = settle(word_ids(split.select(F.explode("_words").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n")), path), "word-ids")
-    hot = table.where(F.length("word") <= HOT_LENGTH).orderBy(F.desc("n"), "word").limit(HOT_WORDS).select("word", "ids")
-    at = split.select("_row", "_key", F.posexplode("_words").alias("_pos", "word")).join(F.broadcast(hot), "word", "left")
-    known = at.where("ids is not null").select("_row", "_key", "_pos", "ids")
-    rare = at.where("ids is null").select("_row", "_key", "_pos", "word").join(table.select("word", "ids"), "word").select("_row", "_key", "_pos", "ids")
-    every = split.select("_row", "_key", F.lit(-1).alias("_pos"), F.array().cast("array<int>").alias("ids"))
-    parts = known.unionByName(rare).unionByName(every).groupBy("_row", "_key").agg(F.array_sort(F.collect_list(F.struct("_pos", "ids"))).alias("_parts"))
-    return parts.select(F.col("_key").alias(key), F.flatten(F.col("_parts.ids")).alias("ids"))
+def _look_up(hot):
+    """Over batches of texts' words: the ids of the hot words, and ``-k`` for the text's ``k``-th distinct other word."""
+
+    def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = hot.value
+        for pdf in batches:
+            coded, others = [], []
+            for words in pdf["_words"]:
+                ids: list[int] = []
+                rare: dict[str, int] = {}
+                for w in words:
+                    found = known.get(w)
+                    if found is None:
+                        ids.append(-rare.setdefault(w, len(rare) + 1))
+                    else:
+                        ids += found
+                coded.append(ids)
+                others.append(list(rare))
+            yield pdf.drop(columns="_words").assign(_ids=coded, _rare=others)
+
+    return look
+
+
+def encode(docs: DataFrame, key: str, text: str, path: str = VOCABULARY, keep: Sequence[str] = ()) -> DataFrame:
+    """``(key, keep..., ids)`` with a row for every row of ``docs``; repeated and null keys keep their own rows."""
+    spark = docs.sparkSession
+    own = {f"_k{i}": F.col(c).alias(f"_k{i}") for i, c in enumerate((key, *keep))}
+    kept = docs.select(F.monotonically_increasing_id().alias("_row"), *own.values(), words_of(F.col(text)).alias("_words"))
+    split = settle(kept, "words")
+    counted = split.select(F.explode("_words").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    table = settle(word_ids(counted, path), "word-ids")
+    hot = table.where(F.length("word") <= HOT_LENGTH).orderBy(F.desc("n"), "word").limit(HOT_WORDS).select("word", "ids").collect()
+    known = spark.sparkContext.broadcast({r["word"]: list(r["ids"]) for r in hot})
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept.schema.fields[:-1])
+    coded = settle(split.mapInPandas(_look_up(known), f"{kinds}, _ids array<int>, _rare array<string>"), "coded")
+    some = F.size("_rare") > 0
+    asked = coded.where(some).select("_row", F.posexplode("_rare").alias("_at", "word"))
+    answered = asked.join(table.select("word", "ids"), "word").groupBy("_row").agg(F.transform(F.array_sort(F.collect_list(F.struct("_at", "ids"))), lambda x: x["ids"]).alias("_found"))
+    filled = F.flatten(F.transform("_ids", lambda i: F.when(i < 0, F.element_at("_found", -i)).otherwise(F.array(i))))
+    named = [F.col(k).alias(c) for k, c in zip(own, (key, *keep))]
+    done = coded.where(~some).select(*named, F.col("_ids").alias("ids"))
+    return done.unionByName(coded.where(some).drop("_rare").join(answered, "_row").select(*named, filled.alias("ids")))
 
 
 def pieces(spark: SparkSession, path: str = VOCABULARY) -> DataFrame:
@@ -86,14 +119,3 @@ def decode(encoded: DataFrame, key: str, path: str = VOCABULARY) -> DataFrame:
     joined = at.join(F.broadcast(pieces(encoded.sparkSession, path)), "id", "left")
     hexed = joined.groupBy("_row", "_key").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_pos", "piece"))), lambda p: F.coalesce(p["piece"], F.lit(""))), "").alias("_hex"))
     return hexed.select(F.col("_key").alias(key), F.decode(F.unhex("_hex"), "UTF-8").alias("text"))
-
-
-def count_tokens(path: str = VOCABULARY):
-    """A vectorised function from texts to their numbers of tokens; null has none."""
-
-    @F.pandas_udf("long")
-    def count(texts: pd.Series) -> pd.Series:
-        enc = encoding(path)
-        return pd.Series([0 if t is None else len(enc.encode_ordinary(t)) for t in texts], dtype="int64")
-
-    return count
