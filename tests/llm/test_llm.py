@@ -42,8 +42,9 @@ def test_decoding_gives_the_texts_again(spark):
     assert tokens.encode(docs(spark, ODD).limit(0), "doc_id", "text").count() == 0
 
 
-def test_round_trip_query(spark, data):
-    assert rows_of(queries.p8_round_trip(spark, data)) == rows_of_sql(queries.SQL["p8_round_trip"], data)
+@pytest.mark.parametrize("name", sorted(queries.SQL))
+def test_same_rows_as_sql(spark, data, name):
+    assert rows_of(queries.QUERIES[name](spark, data)) == rows_of_sql(queries.SQL[name], data)
 
 
 def test_word_join_beyond_the_broadcast(spark, monkeypatch):
@@ -196,6 +197,10 @@ def test_linked_clusters_against_all_pairs(spark, seed):
     celled = clusters.cells(table, k=6)
     got = [tuple(r) for r in clusters.pairs(clusters.linked(celled, hosts)).collect()]
     assert len(got) == len(set(got)) and set(got) == brute_pairs(feats, 5)
+    elsewhere = celled.withColumn("cell", F.pmod(F.xxhash64("profile", F.lit(5)), F.lit(6)).cast("int"))
+    far = lambda c: clusters.visits(c, clusters.prefixes(c)).where("to <> cell").count()
+    assert far(celled) < far(elsewhere)  # k-means decides how many visits there are, not which pairs come out
+    assert {tuple(r) for r in clusters.links(elsewhere).collect()} == {tuple(r) for r in clusters.links(celled).collect()}
     report = clusters.described(celled, hosts, 3).collect()
     assert sum({r["cell"]: r["members"] for r in report}.values()) == len(feats) and max(r["rank"] for r in report) <= 3
 

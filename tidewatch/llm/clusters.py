@@ -5,11 +5,11 @@ hashed features weighted by rarity, and divided into cells by distributed
 k-means, seeded in parallel with oversampling. ``described`` reports the cells,
 with their size and the members nearest each centroid; ``typical_members`` the linked clusters.
 
-Clusters by linked likeness (``linked``) are made on the cells: a profile
-lies in its own cell and visits every other cell where it could have a partner; pairs
-are compared inside a cell only. Which cells it could have a partner in is exact: of two
-sets alike enough, the rarest features (as many as their sizes demand) must share one. So the
-cells divide the work, and no link is lost at their borders.
+Clusters by linked likeness (``linked``) are made from the cells: profiles are compared inside a cell only, and a profile
+also visits another cell where it could have a partner. Two exact conditions decide: of two sets alike
+enough, the rarest features (as many as their sizes demand) must share one; and the profile must share enough features
+with all members of the cell's size class together, whose features are kept as one
+bit mask per cell and class. The better k-means has divided the profiles, the fewer visits pass, and no link is lost at the cells' borders.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import IDF, HashingTF, Normalizer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.functions.urls import url_host, url_last_segment, url_port
@@ -26,6 +26,8 @@ from tidewatch.storage import settle
 
 #: Cells of k-means, its rounds, and the length of the hashed vectors.
 CELLS, ROUNDS, WIDTH = 64, 8, 1024
+#: Words of 64 bits of a cell's feature mask.
+WORDS = 128
 #: Two sets are alike if they share at least a half of the features either has: |A and B| * 3 >= |A| + |B|.
 LEAST_CLUSTER = 5
 #: Members of a block when the pairs of a cluster are written out.
@@ -86,27 +88,63 @@ def described(celled: DataFrame, hosts: DataFrame, typical: int = 5) -> DataFram
     return near.join(size, "cell").select("cell", "members", "profiles", "mean_distance", "rank", "host", "distance")
 
 
-def links(celled: DataFrame) -> DataFrame:
-    """``(a, b)``: profiles that share at least half of the features either has, compared inside the cells.
+def _step(n: Column) -> Column:
+    """The class of a set's size: the size itself up to 16, above that the least size of a step of a quarter."""
+    return F.when(n <= 16, n).otherwise((16 * F.pow(F.lit(1.25), F.floor(F.log(n / F.lit(16.0)) / F.log(F.lit(1.25))))).cast("int"))
+
+
+def _enough(n: Column, m: Column) -> Column:
+    """Features that two sets of these sizes must share."""
+    return F.ceil((n + m) / 3).cast("int")
+
+
+def signatures(celled: DataFrame) -> DataFrame:
+    """``(to, other, mask)``: the bits of all features of each cell's members of one size class; a kilobyte per row, at most ``CELLS`` times the classes."""
+    bit = celled.select("cell", _step(F.col("n")).alias("other"), F.explode("features").alias("f")).select("cell", "other", F.pmod("f", F.lit(WORDS)).cast("int").alias("w"), F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.shiftrightunsigned("f", 32), F.lit(64)).cast("int")).alias("b"))
+    word = bit.groupBy("cell", "other", "w").agg(F.bit_or("b").alias("b"))
+    filled = word.groupBy(F.col("cell").alias("to"), "other").agg(F.map_from_entries(F.collect_list(F.struct("w", "b"))).alias("m"))
+    return filled.select("to", "other", F.transform(F.sequence(F.lit(0), F.lit(WORDS - 1)), lambda i: F.coalesce(F.col("m")[i], F.lit(0).cast("long"))).alias("mask"))
+
+
+def prefixes(celled: DataFrame) -> DataFrame:
+    """``(profile, cell, n, own, other, pos, feature)``: for each class of sizes (``other``) the rarest features of which a partner must have one.
 
-    For a partner of ``m`` features a set of ``n`` must share ceil((n + m) / 3), so a common one is
-    among its first ``n - ceil((n + m) / 3) + 1``. Sizes above 16 are taken in steps, by the least that a step demands.
+    For a partner of ``m`` features a set of ``n`` must share ``e = ceil((n + m) / 3)``, so the first common one is
+    among its first ``n - e + 1``. Rows that could meet nobody are dropped: no other profile has their key.
     """
-    step = lambda c: F.when(c <= 16, c).otherwise((16 * F.pow(F.lit(1.25), F.floor(F.log(c / F.lit(16.0)) / F.log(F.lit(1.25))))).cast("int"))
-    sizes = F.array_distinct(F.transform(F.sequence(F.ceil(F.col("n") / 2).cast("int"), F.col("n") * 2), step))
-    own = celled.withColumn("own", step(F.col("n"))).withColumn("other", F.explode(sizes))
-    keep = F.greatest(F.lit(1), F.col("n") - F.ceil((F.col("n") + F.col("other")) / 3).cast("int") + 1)
-    keyed = own.select("profile", "cell", "own", "other", F.explode(F.slice("features", F.lit(1), keep)).alias("feature"))
-    # a row that could meet nobody is dropped here: no other profile has its key
+    sizes = F.array_distinct(F.transform(F.sequence(F.ceil(F.col("n") / 2).cast("int"), F.col("n") * 2), _step))
+    own = celled.withColumn("own", _step(F.col("n"))).withColumn("other", F.explode(sizes))
+    keep = F.greatest(F.lit(1), F.col("n") - _enough(F.col("n"), F.col("other")) + 1)
+    keyed = own.select("profile", "cell", "n", "own", "other", F.posexplode(F.slice("features", F.lit(1), keep)).alias("pos", "feature"))
     common = keyed.groupBy("feature", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi")).agg(F.min("profile").alias("p"), F.max("profile").alias("q")).where("p <> q").select("feature", "lo", "hi")
-    home = settle(keyed.withColumn("lo", F.least("own", "other")).withColumn("hi", F.greatest("own", "other")).join(common, ["feature", "lo", "hi"], "left_semi"), "home")
+    return keyed.withColumn("lo", F.least("own", "other")).withColumn("hi", F.greatest("own", "other")).join(common, ["feature", "lo", "hi"], "left_semi").drop("lo", "hi")
+
+
+def visits(celled: DataFrame, home: DataFrame) -> DataFrame:
+    """``(profile, cell, n, own, other, to, keys)``: which cells each profile goes to, its own among them, and with which of its prefix features."""
     there = home.select("feature", F.col("own").alias("other"), F.col("other").alias("own"), F.col("cell").alias("to")).distinct()
-    visits = home.join(there, ["feature", "own", "other"]).where("to >= cell").select("feature", F.col("own").alias("other"), F.col("other").alias("own"), F.col("to").alias("cell"), F.col("cell").alias("from"), F.col("profile").alias("guest"))
-    met = home.join(visits, ["feature", "own", "other", "cell"]).where("profile <> guest and (from < cell or guest < profile)").select(F.least("profile", "guest").alias("a"), F.greatest("profile", "guest").alias("b")).distinct()
+    asked = home.join(there, ["feature", "own", "other"]).where("to >= cell").repartition("profile")
+    asked = asked.groupBy("profile", "cell", "n", "own", "other", "to").agg(F.collect_list(F.struct("pos", "feature")).alias("keys"))
+    held = F.aggregate("features", F.lit(0), lambda t, f: t + F.getbit(F.get("mask", F.pmod(f, F.lit(WORDS)).cast("int")), F.pmod(F.shiftrightunsigned(f, 32), F.lit(64)).cast("int")).cast("int"))
+    met = asked.join(celled.select("profile", "features"), "profile").join(F.broadcast(signatures(celled)), ["to", "other"])
+    return met.where((F.col("to") == F.col("cell")) | (held >= _enough(F.col("n"), F.col("other")))).drop("features", "mask")
+
+
+def candidates(celled: DataFrame) -> DataFrame:
+    """``(a, b)``: the pairs of profiles that must be compared, each once; of two sets no more can be common than what follows their first common feature."""
+    home = settle(prefixes(celled), "home")
+    far = visits(celled, home).select(F.explode("keys").alias("k"), F.col("own").alias("other"), F.col("other").alias("own"), F.col("to").alias("cell"), F.col("cell").alias("from"), F.col("profile").alias("guest"), F.col("n").alias("gn"))
+    met = home.join(far.select("k.feature", F.col("k.pos").alias("gpos"), "other", "own", "cell", "from", "guest", "gn"), ["feature", "own", "other", "cell"]).where("profile <> guest and (from < cell or guest < profile)")
+    met = met.where(F.least(F.col("n") - F.col("pos"), F.col("gn") - F.col("gpos")) >= _enough(F.col("n"), F.col("gn")))
+    return met.select(F.least("profile", "guest").alias("a"), F.greatest("profile", "guest").alias("b")).distinct()
+
+
+def links(celled: DataFrame) -> DataFrame:
+    """``(a, b)``: profiles that share at least half of the features either has."""
     sets = celled.select("profile", "features", "n")
     left = sets.select(F.col("profile").alias("a"), F.col("features").alias("fa"), F.col("n").alias("na"))
     right = sets.select(F.col("profile").alias("b"), F.col("features").alias("fb"), F.col("n").alias("nb"))
-    return met.join(left, "a").join(right, "b").where(F.size(F.array_intersect("fa", "fb")) * 3 >= F.col("na") + F.col("nb")).select("a", "b")
+    return candidates(celled).join(left, "a").join(right, "b").where(F.size(F.array_intersect("fa", "fb")) * 3 >= F.col("na") + F.col("nb")).select("a", "b")
 
 
 def linked(celled: DataFrame, hosts: DataFrame, least: int = LEAST_CLUSTER) -> DataFrame:

@@ -26,8 +26,8 @@ from tidewatch.storage import settle, tasks
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: the pattern with which this vocabulary splits text before merging.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Words that are broadcast, and the most characters one of them has: at most some 8 MB.
-HOT_WORDS, HOT_LENGTH = 20_000, 32
+#: Words that are sent to every task, and the most characters one of them has: at most some 20 MB.
+HOT_WORDS, HOT_LENGTH = 50_000, 32
 
 
 @lru_cache(maxsize=2)
