@@ -36,6 +36,13 @@ def test_ids_of_any_text(spark, texts):
     assert got == {i: reference(t) for i, t in enumerate(texts)}
 
 
+def test_sizes_are_the_numbers_of_ids(spark, monkeypatch):
+    monkeypatch.setattr(tokens, "HOT_WORDS", 3)
+    df = docs(spark, [*ODD, "one two two three three three", "two two one"]).withColumn("source", F.lit("s"))
+    got = {r["doc_id"]: r["tokens"] for r in tokens.sizes(df, ["source", "doc_id"], "text").collect()}
+    assert got == {r["doc_id"]: len(reference(r["text"])) for r in df.collect()}
+
+
 def test_decoding_gives_the_texts_again(spark):
     back = tokens.decode(tokens.encode(docs(spark, ODD), "doc_id", "text"), "doc_id")
     assert {r["doc_id"]: r["text"] for r in back.collect()} == {i: t or "" for i, t in enumerate(ODD)}

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewatch.llm.tokens import encode
+from tidewatch.llm.tokens import sizes
 from tidewatch.storage import settle
 
 #: Bits of each of the three levels; 48 of the 63 bits of a place decide.
@@ -108,4 +108,4 @@ def shares(used: DataFrame, wanted: DataFrame) -> DataFrame:
 def sized_documents(docs: DataFrame) -> DataFrame:
     """``(source, doc_id, tokens, place)`` of the documents that have a source, written once; sizes from the table of distinct words."""
     named = docs.select(plain_source(F.col("source")).alias("source"), "doc_id", "text", place(F.col("doc_id"), F.col("text")).alias("place")).where("source is not null")
-    return settle(encode(named, "doc_id", "text", keep=["source", "place"]).select("source", "doc_id", F.size("ids").cast("long").alias("tokens"), "place"), "sized")
+    return settle(sizes(named, ["source", "doc_id", "place"], "text").select("source", "doc_id", "tokens", "place"), "sized")

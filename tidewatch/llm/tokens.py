@@ -61,7 +61,7 @@ def word_ids(words: DataFrame, path: str) -> DataFrame:
     return words.repartition(tasks(words.sparkSession), "word").mapInPandas(ids, "word string, n long, ids array<int>")
 
 
-def _look_up(hot):
+def _ids_of(hot):
     """Over batches of texts' words: the ids of the hot words, and ``-k`` for the text's ``k``-th distinct other word."""
 
     def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -84,27 +84,51 @@ def _look_up(hot):
     return look
 
 
-def encode(docs: DataFrame, key: str, text: str, path: str = VOCABULARY, keep: Sequence[str] = ()) -> DataFrame:
-    """``(key, keep..., ids)`` with a row for every row of ``docs``; repeated and null keys keep their own rows."""
-    spark = docs.sparkSession
-    own = {f"_k{i}": F.col(c).alias(f"_k{i}") for i, c in enumerate((key, *keep))}
+def _sizes_of(hot):
+    """Over batches of texts' words: how many ids the hot words have, and all other words."""
+
+    def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = {w: len(ids) for w, ids in hot.value.items()}
+        for pdf in batches:
+            sizes = [[known.get(w, 0) for w in words] for words in pdf["_words"]]
+            others = [[w for w, n in zip(words, s) if not n] for words, s in zip(pdf["_words"], sizes)]
+            yield pdf.drop(columns="_words").assign(_n=[sum(s) for s in sizes], _rare=others)
+
+    return look
+
+
+def _looked_up(docs: DataFrame, columns: Sequence[str], text: str, path: str, look, kind: str) -> tuple[DataFrame, DataFrame, list[Column]]:
+    """What ``look`` makes of each text's words (``kind``) with its row's number and ``columns``; the table of words; the columns by their names."""
+    own = {f"_k{i}": F.col(c).alias(f"_k{i}") for i, c in enumerate(columns)}
     kept = docs.select(F.monotonically_increasing_id().alias("_row"), *own.values(), words_of(F.col(text)).alias("_words"))
     split = settle(kept, "words")
     counted = split.select(F.explode("_words").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     table = settle(word_ids(counted, path), "word-ids")
     hot = table.where(F.length("word") <= HOT_LENGTH).orderBy(F.desc("n"), "word").limit(HOT_WORDS).select("word", "ids").collect()
-    known = spark.sparkContext.broadcast({r["word"]: list(r["ids"]) for r in hot})
+    known = docs.sparkSession.sparkContext.broadcast({r["word"]: list(r["ids"]) for r in hot})
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept.schema.fields[:-1])
-    coded = settle(split.mapInPandas(_look_up(known), f"{kinds}, _ids array<int>, _rare array<string>"), "coded")
+    coded = settle(split.mapInPandas(look(known), f"{kinds}, {kind}, _rare array<string>"), "coded")
+    return coded, table, [F.col(k).alias(c) for k, c in zip(own, columns)]
+
+
+def encode(docs: DataFrame, key: str, text: str, path: str = VOCABULARY) -> DataFrame:
+    """``(key, ids)`` with a row for every row of ``docs``; repeated and null keys keep their own rows."""
+    coded, table, named = _looked_up(docs, [key], text, path, _ids_of, "_ids array<int>")
     some = F.size("_rare") > 0
     asked = coded.where(some).select("_row", F.posexplode("_rare").alias("_at", "word"))
     answered = asked.join(table.select("word", "ids"), "word").groupBy("_row").agg(F.transform(F.array_sort(F.collect_list(F.struct("_at", "ids"))), lambda x: x["ids"]).alias("_found"))
     filled = F.flatten(F.transform("_ids", lambda i: F.when(i < 0, F.element_at("_found", -i)).otherwise(F.array(i))))
-    named = [F.col(k).alias(c) for k, c in zip(own, (key, *keep))]
     done = coded.where(~some).select(*named, F.col("_ids").alias("ids"))
     return done.unionByName(coded.where(some).drop("_rare").join(answered, "_row").select(*named, filled.alias("ids")))
 
 
+def sizes(docs: DataFrame, columns: Sequence[str], text: str, path: str = VOCABULARY) -> DataFrame:
+    """``(columns..., tokens)`` with a row for every row of ``docs``: how many ids its text has, from the same table of words."""
+    coded, table, named = _looked_up(docs, columns, text, path, _sizes_of, "_n long")
+    rare = coded.select("_row", F.explode("_rare").alias("word")).join(table.select("word", F.size("ids").alias("_m")), "word").groupBy("_row").agg(F.sum("_m").alias("_m"))
+    return coded.drop("_rare").join(rare, "_row", "left").select(*named, (F.col("_n") + F.coalesce("_m", F.lit(0))).alias("tokens"))
+
+
 def pieces(spark: SparkSession, path: str = VOCABULARY) -> DataFrame:
     """``(id, piece)``: each id's bytes in hexadecimal; as many rows as the vocabulary has."""
     with open(path, "rb") as f:
