@@ -145,13 +145,17 @@ def test_concurrent_commits(spark, tmp_path):
     a, b = (Table(spark, str(tmp_path / "t"), RUN, "ended_at") for _ in range(2))
     row = spark.createDataFrame([("r", "p", "s", T0, 1, None)], RUN)
     a.create()
-    stale = a.commits
-    seen = []
-    b_commits = b.commits
-    a.commits = lambda version=None: stale(version) if seen else (seen.append(1), [])[1]  # a looks once before b commits
-    b.append(row)
+    publish, seen = a.files.publish, []
+
+    def late(path, text):  # b commits just before a publishes its first try
+        if not seen:
+            seen.append(1)
+            b.append(row)
+        return publish(path, text)
+
+    a.files.publish = late
     a.append(row)
-    assert [c["version"] for c in b_commits()] == [1, 2] and Table(spark, str(tmp_path / "t"), RUN, "ended_at").read().count() == 2
+    assert [c["version"] for c in b.commits()] == [1, 2] and Table(spark, str(tmp_path / "t"), RUN, "ended_at").read().count() == 2
 
 
 def test_commands(capsys):

@@ -159,6 +159,13 @@ class Files:
             fs.delete(p, False)
         fs.rename(self._path(tmp)[1], p)
 
+    def move(self, path: str, to: str) -> None:
+        """Rename a file; nothing happens if it is there already."""
+        fs, p = self._path(to)
+        if not fs.exists(p):
+            fs.mkdirs(p.getParent())
+            fs.rename(self._path(path)[1], p)
+
     def remove(self, path: str) -> None:
         fs, p = self._path(path)
         fs.delete(p, True)

@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+import signal
+import threading
+import uuid
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tidewatch.lake.table import Table
-from tidewatch.schemas import BRONZE, DEAD_LETTER, ENVELOPE
+from tidewatch.schemas import BRONZE, DEAD_LETTER, ENVELOPE, SOURCES
 from tidewatch.sources.envelope import invalid_reason
-from tidewatch.streaming.topics import TopicLog
+from tidewatch.streaming.topics import TopicLog, spec_of
 
 _WIRE = "event_id string, source string, event_type string, schema_version int, occurred_at timestamp, ingested_at timestamp, payload string, content_hash string, collector_run_id string, collector_host string"
 WIRE_SCHEMA = f"{_WIRE}, _key string, _offset long, _appended_at timestamp, _partition int"
@@ -38,13 +45,39 @@ def sync(spark: SparkSession, log: TopicLog, topic: str, bronze: str, letters: s
     def write(batch: DataFrame, batch_id: int) -> None:
         good, bad = split_batch(batch, topic)
         for name, table, rows in (("written", good_table, good), ("dead_lettered", bad_table, bad)):
-            before = len(table.commits())
             commit = table.append(rows, once=(checkpoint, batch_id))
-            if commit and len(table.commits()) > before:
+            if commit and not commit.get("repeated"):
                 report[name] += commit["added"]
+        log.note_consumed(checkpoint, {r["_partition"]: r["n"] for r in batch.groupBy("_partition").agg((F.max("_offset") + 1).alias("n")).collect()})  # a row per partition
 
     q = log.read_stream(topic, WIRE_SCHEMA, files_per_batch).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    q.awaitTermination()
+    with stopping(q):
+        q.awaitTermination()
+    return report
+
+
+@contextmanager
+def stopping(query: StreamingQuery) -> Iterator[None]:
+    """Within it, an interrupt or a request to end stops the query after what it has committed; the next run goes on from there."""
+    if threading.current_thread() is not threading.main_thread():  # signals reach the main thread only
+        yield
+        return
+    had = {s: signal.signal(s, lambda *_: query.stop()) for s in (signal.SIGINT, signal.SIGTERM)}
+    try:
+        yield
+    finally:
+        for s, handler in had.items():
+            signal.signal(s, handler)
+
+
+def sync_all(spark: SparkSession, log: TopicLog, root: str, sources: Iterable[str] = SOURCES, replay: bool = False) -> dict[str, dict[str, int]]:
+    """Every source's topic into its Bronze table, one after the other; a source without a topic has nothing to read."""
+    report = {}
+    for source in sources:
+        topic = spec_of(source).name
+        if log.exists(topic):
+            group = uuid.uuid4().hex if replay else "bronze"
+            report[source] = sync(spark, log, topic, f"{root}/bronze/{source}", f"{root}/dead_letters", f"{root}/checkpoints/{source}/{group}")
     return report
 
 
