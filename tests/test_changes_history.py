@@ -105,16 +105,65 @@ def test_late_events(spark):
     at = {"on time": end + timedelta(minutes=15) - timedelta(microseconds=1), "corrected": end + timedelta(minutes=15), "last": end + timedelta(hours=72) - timedelta(microseconds=1), "cut off": end + timedelta(hours=72)}
     rows = [(k, "h", T0 + timedelta(minutes=5), t) for k, t in at.items()] + [("on time", "h", T0 + timedelta(minutes=5), end + timedelta(hours=99)), (None, "h", T0, T0), ("no time", "h", None, T0), ("ahead", None, T0 + timedelta(hours=2), T0)]
     df = spark.createDataFrame(rows, "id string, host string, occurred_at timestamp, ingested_at timestamp")
-    view = lateness.batch_view(lateness.first_arrivals(df, F.col("id"), "host", "occurred_at", "ingested_at"), p)
+    events = lateness.first_arrivals(df, F.col("id"), "host", "occurred_at", "ingested_at")
+    us = lambda t: int(t.timestamp() * 1e6)
+    # whenever the batch ran, before anything, in between or after everything, the served counts are the same
+    views = [lateness.reconciled(lateness.build_views(events, p, us(t)), p) for t in (T0 - timedelta(days=9), end + timedelta(minutes=16), end + timedelta(hours=72), end + timedelta(hours=80))]
+    results = [sorted(map(str, v.collect())) for v in views]
+    assert all(r == results[0] for r in results)
+    view = views[1]
     got = {r["grp"]: (r["provisional"], r["final"], r["late"], r["cut_off"]) for r in view.collect()}
     assert got == {"h": (1, 3, 2, 1), None: (1, 1, 0, 0)}
     assert {(r["grp"], r["late_kind"]) for r in lateness.late_kinds(view).collect()} == {("h", "corrected"), ("h", "cut_off")}
 
 
-def test_serving_frozen_open_and_fast(spark):
+def test_what_is_served_comes_from_the_layers(spark):
+    """Bypassing a layer changes the counts: frozen periods stand, open ones are base plus fast."""
     p = lateness.Periods()
-    now = 1_000_000 * 3600 * 1000
+    batch = 1_000_000 * 3600 * 1000
     rows = lambda *r: spark.createDataFrame(list(r), "grp string, period_start long, n long")
     old, new = 3600 * 900, 3600 * 990
-    got = lateness.serve(rows(("h", old, 5)), rows(("h", old, 7), ("h", new, 2)), rows(("h", new, 1), ("h", old, 9), ("g", new, 4)), now, p)
+    got = lateness.serve(rows(("h", old, 5)), rows(("h", old, 7), ("h", new, 2)), rows(("h", new, 1), ("h", old, 9), ("g", new, 4)), batch, p)
     assert {tuple(r) for r in got.collect()} == {("h", old, 5), ("h", new, 3), ("g", new, 4)}
+
+
+def test_lambda_view_recomputes_in_one_commit(spark, tmp_path):
+    from tidewatch.streaming.lambda_view import LambdaView
+
+    at = lambda h: T0 + timedelta(hours=h)
+    us = lambda t: int(t.timestamp() * 1e6)
+    df = lambda *r: spark.createDataFrame([(i, "h", o, a) for i, o, a in r], "id string, host string, occurred_at timestamp, ingested_at timestamp")
+    first, second, third = df(("a", at(0), at(0)), ("b", at(1), at(1))), df(("a", at(0), at(2)), ("c", at(0), at(2))), df(("d", at(1), at(3)))
+    v = LambdaView(spark, str(tmp_path), F.col("id"), "host", "occurred_at", "ingested_at")
+    counts = lambda: {r["period_start"] - int(T0.timestamp()): r["n"] for r in v.read().collect()}
+    v.add(first, 0)
+    v.add(first, 0)  # the batch comes again
+    v.add(second, 1)
+    assert counts() == {0: 3, 3600: 1}  # the copy of a is counted again until the batch corrects it
+    versions = v.state.version()
+    v.add(third, 2)  # arrives while the recomputation of the first two runs
+    v.recompute(first.unionByName(second), us(at(4)), seen=1)
+    assert counts() == {0: 2, 3600: 2} and v.state.version() == versions + 2
+    v.recompute(first.unionByName(second).unionByName(third), us(at(80)), seen=2)
+    v.recompute(df(("z", at(0), at(0))), us(at(90)), seen=2)  # frozen periods stay as they were
+    assert counts() == {0: 2, 3600: 2}
+
+
+def test_ordinals_are_kept_between_runs(spark, tmp_path):
+    keys = lambda *k: spark.createDataFrame([("s", x) for x in k], "source string, key string")
+    kept = lambda df: {r["key"]: (r["block"], r["ordinal"]) for r in df.collect()}
+    first = kept(snapshots.Ordinals(spark, str(tmp_path)).extend(keys("a", "b", None)))
+    later = kept(snapshots.Ordinals(spark, str(tmp_path)).extend(keys("b", "c", "d")))  # another run finds them
+    assert first.items() <= later.items() and set(later) == set("abcd") and len(set(later.values())) == 4
+    assert kept(snapshots.Ordinals(spark, str(tmp_path)).extend(keys("a"))) == later
+
+
+def test_a_block_grows_beyond_one_bitmap(spark):
+    n = snapshots.BLOCK_BITS + 5000
+    old = spark.range(2000).select(F.lit("s").alias("source"), F.format_string("k%07d", "id").alias("key"))
+    new = spark.range(n).select(F.lit("s").alias("source"), F.format_string("k%07d", "id").alias("key"))
+    ordinals = snapshots.extend_ordinals(new, snapshots.extend_ordinals(old, blocks=1), blocks=1)
+    records = old.select("*", F.lit(0).alias("seq"), F.lit(1).cast("long").alias("sig")).unionByName(new.where("key > 'k0000009'").select("*", F.lit(1).alias("seq"), F.when(F.col("key") == "k0000100", 2).otherwise(1).cast("long").alias("sig")))
+    runs = spark.createDataFrame([("s", 0), ("s", 1)], "source string, seq int")
+    got = {r["change_kind"]: r["count"] for r in snapshots.snapshot_changes(records, runs, ordinals).groupBy("change_kind").count().collect()}
+    assert got == {"added": n - 2000, "removed": 10, "changed": 1}

@@ -63,5 +63,30 @@ def test_consistent_table(spark):
     assert rows[1, 0, "old"]["field"] == rows[2, 0, "new"]["field"] == "new"
     assert rows[2, 1, "n"]["as_string"] == "1" and rows[2, 1, "n"]["as_number"] is None and float(rows[2, 1, "n"]["canonical"]) == 1.0
     assert rows[1, 1, "n"]["as_number"] == 1.0 and rows[1, 1, "n"]["tag"] == "number"
-    alt = {(r["field"], r["tag"]): r["first_file"] for r in drift.alternatives(df).collect()}
+    alt = {(r["path"], r["tag"]): r["first_file"] for r in drift.alternatives(df).collect()}
     assert alt["n", "number"] == 1 and alt["n", "string"] == 2
+
+
+def test_alternatives_of_nested_paths(spark):
+    """Every path keeps all of its types, inside objects and arrays too."""
+    df = lines(spark, [[{"a": {"b": 1, "c": [1, "x", None, {"d": True}]}}, {}], [{"a": {"b": "1"}, "e": []}]])
+    got = {(r["path"], r["tag"]): (r["n_values"], r["first_file"]) for r in drift.alternatives(df).collect()}
+    assert got == {("a", "object"): (2, 1), ("a.b", "number"): (1, 1), ("a.b", "string"): (1, 2), ("a.c", "array"): (1, 1), ("a.c[]", "number"): (1, 1), ("a.c[]", "string"): (1, 1), ("a.c[]", "object"): (1, 1), ("a.c[].d", "boolean"): (1, 1), ("e", "array"): (1, 2)}
+    assert drift.alternatives(df.limit(0)).count() == 0
+
+
+def test_changes_come_from_the_fused_schema(spark):
+    df = lines(spark, [[{"urlhaus_id": "1", "x": 1}, {}], [{"urlhaus_id": "1", "y": 1}, {"urlhaus_id": "2", "y": 1}]])
+    schema = drift.fused(df)
+    files, fields = drift.file_schemas(schema)
+    assert {(r["file_id"], r["n_lines"]) for r in files.collect()} == {(1, 2), (2, 2)}  # the empty object is a line
+    assert {(r["file_id"], r["field"]) for r in fields.collect()} == {(2, "urlhaus_id"), (2, "y")}
+    _, fewer = drift.file_schemas(schema.where("path <> 'y' or path is null"))
+    assert {(r["file_id"], r["field"]) for r in fewer.collect()} == {(2, "urlhaus_id")}
+
+
+def test_many_renames_share_one_name(spark):
+    """Names are linked through any number of files, without a bound on the links."""
+    files = [[{"urlhaus_id": str(i), f"n{9 - f}": f"v{i}"} for i in range(4)] for f in range(6)]
+    names = {(r["original"], r["name"]) for r in drift.canonical_names(lines(spark, files), drift.changes(lines(spark, files))).collect()}
+    assert names == {(f"n{9 - f}", "n4") for f in range(6)}

@@ -13,10 +13,13 @@ and is passed over. A tie between types goes to the later name in the alphabet.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.functions.keys import plain_cve, plain_ip, squeeze
+from tidewatch.operators.components import components
 from tidewatch.storage import settle
 
 FILE = ["source", "collector_host"]
@@ -27,7 +30,7 @@ def type_tag(value: Column) -> Column:
     s = F.schema_of_variant(value)
     return (
         F.when(s == "STRING", "string")
-        .when(s == "VOID", F.lit(None).cast("string"))
+        .when(s.isNull() | (s == "VOID"), F.lit(None).cast("string"))
         .when(s == "BOOLEAN", "boolean")
         .when(s.startswith("ARRAY"), "array")
         .when(s.startswith("OBJECT"), "object")
@@ -49,29 +52,51 @@ def record_key(v: Column) -> Column:
 
 
 def branches(lines: DataFrame, *keep: str) -> DataFrame:
-    """A row per readable line and top-level field: ``keep``, ``field``, ``value`` (variant), ``tag``."""
-    exploded = lines.select(*keep, "_v").lateralJoin(lines.sparkSession.tvf.variant_explode(F.col("_v").outer()))
-    return exploded.select(*keep, F.col("key").alias("field"), "value", type_tag(F.col("value")).alias("tag"))
+    """A row per readable line and top-level field: ``keep``, ``field``, ``value`` (variant), ``tag``, ``pos``; an empty object has one row without field."""
+    exploded = lines.select(*keep, "_v").lateralJoin(lines.sparkSession.tvf.variant_explode_outer(F.col("_v").outer()))
+    return exploded.select(*keep, F.col("key").alias("field"), "value", type_tag(F.col("value")).alias("tag"), "pos")
+
+
+def fused(lines: DataFrame, nested: bool = False) -> DataFrame:
+    """The fused schema: per file and path every alternative type, ``(file_id, source, collector_host, at, depth, path, tag, n, n_lines)``.
+
+    ``tag`` is null where the value is a JSON null; ``n_lines`` counts the file's lines of which this is the first field, so that their sum is
+    the number of its readable lines. Payloads are parsed once, and only counts are moved. With ``nested`` the paths inside objects (``a.b``) and
+    arrays (``a[]``) follow, level by level until none is left. A path of null is that of an empty object.
+    """
+    spark = lines.sparkSession
+    level = branches(readable(lines.select("file_id", *FILE, "collected_at", "payload")), "file_id", *FILE, "collected_at").withColumnRenamed("field", "path")
+    parts, depth = [], 1
+    while True:
+        first = F.count_if((F.coalesce("pos", F.lit(0)) == 0) & F.lit(depth == 1)).alias("n_lines")
+        about = (*(F.first(c, ignorenulls=True).alias(c) for c in FILE), F.min("collected_at").alias("at"))
+        part = settle(level.groupBy("file_id", "path", "tag").agg(F.count(F.lit(1)).alias("n"), first, *about).withColumn("depth", F.lit(depth)), "fused")
+        parts.append(part)
+        if not nested or part.where("tag in ('array', 'object')").isEmpty():
+            return reduce(DataFrame.unionByName, parts)
+        deeper = level.where("tag in ('array', 'object')").select("file_id", *FILE, "collected_at", F.col("path").alias("above"), F.col("value").alias("_v"))
+        inner = deeper.lateralJoin(spark.tvf.variant_explode(F.col("_v").outer()))
+        level = inner.select("file_id", *FILE, "collected_at", F.when(F.col("key").isNull(), F.concat("above", F.lit("[]"))).otherwise(F.concat("above", F.lit("."), "key")).alias("path"), "value", type_tag(F.col("value")).alias("tag"), "pos")
+        depth += 1
 
 
 def alternatives(lines: DataFrame) -> DataFrame:
-    """The fused schema ``(source, field, tag, n_values, first_at, first_file)``: each alternative type of each path, and where it appeared first."""
-    b = branches(readable(lines), "source", "collected_at", "file_id").where("tag is not null")
-    return b.groupBy("source", "field", "tag").agg(F.count(F.lit(1)).alias("n_values"), F.min(F.struct("collected_at", "file_id")).alias("_f")).select("source", "field", "tag", "n_values", F.col("_f.collected_at").alias("first_at"), F.col("_f.file_id").alias("first_file"))
+    """``(source, path, depth, tag, n_values, first_at, first_file)``: each alternative type of each path, nested ones too, and where it appeared first."""
+    b = fused(lines, nested=True).where("tag is not null")
+    return b.groupBy("source", "path", "depth", "tag").agg(F.sum("n").alias("n_values"), F.min(F.struct("at", "file_id")).alias("_f")).select("source", "path", "depth", "tag", "n_values", F.col("_f.at").alias("first_at"), F.col("_f.file_id").alias("first_file"))
 
 
-def file_schemas(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Files ``(source, collector_host, file_id, seq)`` in order of collection, and their fields ``(..., seq, file_id, field, tag)``.
+def file_schemas(schema: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """From the fused schema: files ``(source, collector_host, file_id, seq)`` in order of collection, and their fields ``(..., seq, file_id, field, tag)``.
 
     A field belongs to a file if more than half of the readable lines have it;
     ``tag`` is that of most of its non-null values, and one without values keeps what it had.
     """
-    ok = readable(lines.select("file_id", *FILE, "collected_at", "payload"))
-    files = settle(ok.groupBy("file_id").agg(*(F.first(c, ignorenulls=True).alias(c) for c in FILE), F.min("collected_at").alias("at"), F.count(F.lit(1)).alias("n_lines")), "drift-files")
+    top = schema.where("depth = 1")
+    files = top.groupBy("file_id").agg(*(F.first(c, ignorenulls=True).alias(c) for c in FILE), F.min("at").alias("at"), F.sum("n_lines").alias("n_lines"))
     order = Window.partitionBy(*FILE).orderBy(F.asc_nulls_last("at"), "file_id")  # a row per file
-    files = files.withColumn("seq", F.row_number().over(order) - 1)
-    per_tag = branches(ok, "file_id").groupBy("file_id", "field", "tag").agg(F.count(F.lit(1)).alias("n"))
-    per_field = per_tag.groupBy("file_id", "field").agg(F.sum("n").alias("n"), F.max(F.when(F.col("tag").isNotNull(), F.struct("n", "tag")))["tag"].alias("tag"))
+    files = settle(files.withColumn("seq", F.row_number().over(order) - 1), "drift-files")
+    per_field = top.where("path is not null").groupBy("file_id", F.col("path").alias("field")).agg(F.sum("n").alias("n"), F.max(F.when(F.col("tag").isNotNull(), F.struct("n", "tag")))["tag"].alias("tag"))
     own = per_field.join(files, "file_id").where(F.col("n") * 2 > F.col("n_lines"))
     before = Window.partitionBy(*FILE, "field").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
     return files, own.select(*FILE, "seq", "file_id", "field", F.last("tag", ignorenulls=True).over(before).alias("tag"))
@@ -120,7 +145,7 @@ def changes(lines: DataFrame) -> DataFrame:
 
     Empty tables give no changes; unreadable and null payloads don't count.
     """
-    files, fields = file_schemas(lines)
+    files, fields = file_schemas(fused(lines))
     p = settle(_pairs(files, fields).where("old <> new or (old_tag <> new_tag)"), "drift-pairs")
     moved = p.where("old <> new")
     ren = settle(renames(lines, moved), "drift-renames")
@@ -136,27 +161,16 @@ def changes(lines: DataFrame) -> DataFrame:
     )
 
 
-def canonical_names(lines: DataFrame, found: DataFrame, most: int = 100_000) -> dict[tuple, str]:
-    """``(source, collector_host, field)`` to the one name that stands for all names linked by renames (the first in the alphabet).
+def canonical_names(lines: DataFrame, found: DataFrame) -> DataFrame:
+    """``(source, collector_host, original, name)``: the one name that stands for all names linked by renames (the first in the alphabet).
 
-    The links are schema, not data: distinct renames per collector. More than ``most`` are refused rather than cut.
+    The links are schema, not data; they are joined into components, however many there are.
     """
     places = lines.groupBy("file_id").agg(*(F.first(c, ignorenulls=True).alias(c) for c in FILE))
-    links = found.where("change_kind = 'renamed'").join(places, "file_id").select(*FILE, "old_field", "new_field").distinct().limit(most + 1).collect()
-    if len(links) > most:
-        raise ValueError(f"more than {most} distinct renames")
-    head: dict[tuple, tuple] = {}
-
-    def top(x: tuple) -> tuple:
-        while head.setdefault(x, x) != x:
-            head[x] = head[head[x]]
-            x = head[x]
-        return x
-
-    for source, host, a, b in links:
-        x, y = sorted((top((source, host, a)), top((source, host, b))))
-        head[y] = x
-    return {k: top(k)[2] for k in list(head)}
+    node = lambda c: F.to_json(F.struct(*FILE, F.col(c).alias("field")))
+    links = found.where("change_kind = 'renamed'").join(places, "file_id").select(node("old_field").alias("a"), node("new_field").alias("b")).distinct()
+    get = lambda c, k: F.get_json_object(c, f"$.{k}")
+    return components(links).select(*(get("node", k).alias(k) for k in FILE), get("node", "field").alias("original"), get("component", "field").alias("name"))
 
 
 def consistent(lines: DataFrame, found: DataFrame | None = None) -> DataFrame:
@@ -168,11 +182,10 @@ def consistent(lines: DataFrame, found: DataFrame | None = None) -> DataFrame:
     type most of the source's values of the field have, null where it can't be converted.
     ``original`` is the field's name in the file.
     """
-    spark = lines.sparkSession
-    names = canonical_names(lines, changes(lines) if found is None else found)
-    linked = spark.createDataFrame([(*k, v) for k, v in names.items()], "source string, collector_host string, original string, _name string")
-    b = branches(readable(lines), "file_id", "line_no", *FILE).withColumnRenamed("field", "original")
-    named = b.join(linked, [*FILE, "original"], "left").withColumn("field", F.coalesce("_name", "original"))
+    names = canonical_names(lines, changes(lines) if found is None else found).select(*(F.col(c).alias(f"_{c}") for c in FILE), F.col("original").alias("_original"), F.col("name").alias("_name"))
+    b = branches(readable(lines), "file_id", "line_no", *FILE).where("field is not null").drop("pos").withColumnRenamed("field", "original")
+    same = (F.col("original") == F.col("_original")) & F.col("source").eqNullSafe(F.col("_source")) & F.col("collector_host").eqNullSafe(F.col("_collector_host"))
+    named = b.join(names, same, "left").withColumn("field", F.coalesce("_name", "original"))
     main = named.where("tag is not null").groupBy("source", "field", "tag").agg(F.count(F.lit(1)).alias("n")).groupBy("source", "field").agg(F.max(F.struct("n", "tag"))["tag"].alias("main_tag"))
     v, text = F.col("value"), F.try_variant_get("value", "$", "string")
     number = F.coalesce(F.try_variant_get(v, "$", "double"), text.try_cast("double"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from tidewatch.functions.keys import plain_cve, plain_ip, plain_uuid, text_or_em
 from tidewatch.operators import asof, dedup, drift, history, lateness, snapshots
 from tidewatch.operators.runs import complete_runs
 from tidewatch.sources.tables import table
-from tidewatch.storage import settle
+from tidewatch.storage import settle, shared_dir
 
 
 # --- 1: schemas that drift between files ----------------------------------------------------
@@ -25,8 +27,8 @@ def p1_table(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p1_alternatives(spark: SparkSession, d: str) -> DataFrame:
-    """The types each field has had, and the file in which each appeared."""
-    return drift.alternatives(table(spark, d, "landed_lines")).select("source", "field", "tag", "n_values", "first_file")
+    """The types each path has had, nested ones too, and the file in which each appeared."""
+    return drift.alternatives(table(spark, d, "landed_lines")).select("source", "path", "tag", "n_values", "first_file")
 
 
 # --- 2: what changed between full snapshots -------------------------------------------------
@@ -48,10 +50,12 @@ def snapshot_records(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    """The keys of each feed's first lists are numbered by one run, those of all later lists by the next, which finds the ordinals kept."""
     records, runs = snapshot_records(spark, d)
     records = settle(records, "p2-records")
-    ordinals = settle(snapshots.extend_ordinals(records.select("source", "key")), "p2-ordinals")
-    changes = snapshots.snapshot_changes(records, runs.select("source", "seq"), ordinals)
+    kept = snapshots.Ordinals(spark, f"{shared_dir(spark)}/p2-ordinals-{uuid.uuid4().hex}")
+    kept.extend(records.where("seq = 0").select("source", "key"))
+    changes = snapshots.snapshot_changes(records, runs.select("source", "seq"), kept.extend(records.select("source", "key")))
     return changes.join(runs.select("source", "seq", "snapshot_no"), ["source", "seq"]).select("source", "snapshot_no", F.col("key").alias("record_key"), "change_kind")
 
 
@@ -115,12 +119,11 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     # the first time each address was on a Tor list, and on a C2 list
     first_tor = spans.groupBy("ip").agg(F.min("start").alias("seq")).join(times, "seq").select("ip", F.col("t").alias("tor_t"))
     first_c2 = table(spark, d, "feodo_snapshots").select("collector_run_id", plain_ip(F.col("ip_address")).alias("ip")).where("ip is not null").join(feodo_runs, "collector_run_id").groupBy("ip").agg(F.min("t").alias("c2_t"))
-    both = first_c2.join(first_tor, "ip", "left")
-    flagged = both.where("tor_t is not null").select("ip", F.lit(1).alias("flag"), F.greatest("tor_t", "c2_t").alias("t"))
-    plain = both.where("tor_t is null or tor_t > c2_t").select("ip", F.lit(0).alias("flag"), F.col("c2_t").alias("t"))
-    order = settle(flagged.unionByName(plain), "p6-c2")
-    stamps = order.select("t").distinct().withColumn("seq", F.row_number().over(_by_time()) - 1)  # at most one per delivery of either feed
-    c2_spans = history.coalesce_runs(order.join(stamps, "t").select("ip", "seq", "flag"), ["ip"], "seq", "flag", 2 * (n + runs.count()) + 2, meet=False)
+    # every delivery of either feed from an address's first C2 list on is an observation of it, a unit interval; the tree makes versions of them
+    stamps = tor_runs.select("t").unionByName(feodo_runs.select("t")).distinct().withColumn("seq", F.row_number().over(_by_time()) - 1)  # at most one per delivery
+    m = stamps.count()
+    units = first_c2.join(first_tor, "ip", "left").join(F.broadcast(stamps), F.col("t") >= F.col("c2_t")).select("ip", "seq", F.coalesce((F.col("tor_t") <= F.col("t")).cast("int"), F.lit(0)).alias("flag"))
+    c2_spans = history.coalesce_runs(units, ["ip"], "seq", "flag", m)
     c2 = c2_spans.join(stamps, c2_spans["start"] == stamps["seq"]).select(F.lit("c2").alias("entity_kind"), "ip", "flag", "t")
     version = _versions()
     return tor.unionByName(c2).select("entity_kind", F.col("ip").alias("ip_address"), "flag", F.col("t").alias("valid_from"), F.coalesce(F.lead("t").over(version), F.lit(-1)).cast("long").alias("valid_to"))
@@ -141,19 +144,20 @@ def _versions():
 # --- 7: late and out-of-order events --------------------------------------------------------
 
 
-def honeypot_arrivals(spark: SparkSession, d: str) -> DataFrame:
-    b = table(spark, d, "bronze_events").where("source = 'cowrie'")
-    return lateness.first_arrivals(b, plain_uuid(F.col("event_id")), "collector_host", "occurred_at", "ingested_at")
+def honeypot_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Served from the lambda views: the last midnight's batch, and the fast layer for what arrived since."""
+    b, p = table(spark, d, "bronze_events").where("source = 'cowrie'"), lateness.Periods()
+    events = lateness.first_arrivals(b, plain_uuid(F.col("event_id")), "collector_host", "occurred_at", "ingested_at")
+    last = b.agg(F.max(F.unix_micros("ingested_at"))).first()[0] or 0
+    return lateness.reconciled(lateness.build_views(events, p, last - last % 86_400_000_000), p)
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
-    view = lateness.batch_view(honeypot_arrivals(spark, d), lateness.Periods())
-    return lateness.late_kinds(view).select(F.col("grp").alias("collector_host"), F.col("period_start").alias("hour_start"), "late_kind")
+    return lateness.late_kinds(honeypot_counts(spark, d)).select(F.col("grp").alias("collector_host"), F.col("period_start").alias("hour_start"), "late_kind")
 
 
 def p7_counts(spark: SparkSession, d: str) -> DataFrame:
-    view = lateness.batch_view(honeypot_arrivals(spark, d), lateness.Periods())
-    return view.select(F.col("grp").alias("collector_host"), F.col("period_start").alias("hour_start"), "provisional", "final", "late", "cut_off")
+    return honeypot_counts(spark, d).select(F.col("grp").alias("collector_host"), F.col("period_start").alias("hour_start"), "provisional", "final", "late", "cut_off")
 
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_table, p1_alternatives, p2_found, p3_found, p3_kept, p5_found, p5_sessions, p6_found, p7_found, p7_counts)}
@@ -201,12 +205,31 @@ SELECT k AS entity_kind, ip AS ip_address, flag, t AS valid_from, coalesce(lead(
 _P7 = f"""e AS (SELECT {_UUID} AS id, min(epoch_us(ingested_at)) AS a, arg_min(epoch_us(occurred_at), ingested_at) AS t, arg_min(collector_host, ingested_at) AS h FROM bronze_events WHERE source = 'cowrie' GROUP BY 1),
 c AS (SELECT h, (t // 3600000000) * 3600 AS hour_start, a - (t // 3600000000 + 1) * 3600000000 AS late FROM e)"""
 
+_TAG = "CASE json_type({j}) WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'ARRAY' THEN 'array' WHEN 'OBJECT' THEN 'object' WHEN 'NULL' THEN NULL ELSE 'number' END"
+_LINES = """ok AS (SELECT source, collector_host AS host, file_id, line_no, collected_at, p, row_number() OVER () AS rid FROM (SELECT *, CASE WHEN json_valid(payload) THEN payload END::JSON AS p FROM landed_lines) WHERE json_type(p) = 'OBJECT')"""
+_REC = f"""coalesce('u:' || nullif(regexp_replace(p ->> '$.urlhaus_id', '\\s+', '', 'g'), ''), 'i:' || {_IP.format(c="(p ->> '$.ip_address')")}, 'c:' || nullif(upper(regexp_replace(p ->> '$.cve_id', '\\s+', '', 'g')), ''), 's:' || nullif(regexp_replace(p ->> '$.session', '\\s+', '', 'g'), ''))"""
+_DRIFT = f"""files AS (SELECT file_id, any_value(source) AS source, any_value(host) AS host, min(collected_at) AS began, count(*) AS n FROM ok GROUP BY 1),
+steps AS (SELECT *, row_number() OVER w AS seq, lag(file_id) OVER w AS prev FROM files WINDOW w AS (PARTITION BY source, host ORDER BY began NULLS LAST, file_id)),
+v AS (SELECT file_id, rec, f, j, {_TAG.format(j="j")} AS tag FROM (SELECT file_id, rec, f, json_extract(p, '$."' || f || '"') AS j FROM (SELECT file_id, p, {_REC} AS rec, unnest(json_keys(p)) AS f FROM ok))),
+own AS (SELECT file_id, f, sum(c) AS c, arg_max(tag, (c, tag)) FILTER (tag IS NOT NULL) AS tag FROM (SELECT file_id, f, tag, count(*) AS c FROM v GROUP BY ALL) GROUP BY 1, 2),
+has AS (SELECT s.file_id, s.prev, s.source, s.host, s.seq, f, last_value(tag IGNORE NULLS) OVER (PARTITION BY s.source, s.host, f ORDER BY seq ROWS UNBOUNDED PRECEDING) AS tag FROM own JOIN steps s USING (file_id) WHERE c * 2 > n),
+d AS (SELECT coalesce(n.file_id, o.file_id) AS file_id, coalesce(n.prev, o.prev) AS prev, coalesce(n.f, o.f) AS f, n.f IS NOT NULL AS is_new, o.f IS NOT NULL AS is_old, n.tag AS nt, o.tag AS ot
+  FROM (SELECT * FROM has WHERE prev IS NOT NULL) n FULL JOIN (SELECT s.file_id, s.prev, h.f, h.tag FROM steps s JOIN has h ON h.file_id = s.prev) o ON n.file_id = o.file_id AND n.f = o.f),
+x AS (SELECT DISTINCT d.file_id, d.f, is_new, rec, v.tag || ':' || CASE WHEN v.tag = 'number' THEN j::DOUBLE::VARCHAR ELSE j::VARCHAR END AS val FROM d JOIN v ON v.file_id = CASE WHEN is_new THEN d.file_id ELSE prev END AND v.f = d.f WHERE is_new <> is_old AND rec IS NOT NULL AND v.tag IS NOT NULL),
+e AS (SELECT o.file_id, o.f AS a, n.f AS b, count(DISTINCT o.rec) AS eq FROM x o JOIN x n ON n.is_new AND NOT o.is_new AND n.file_id = o.file_id AND n.rec = o.rec AND n.val = o.val GROUP BY ALL),
+sh AS (SELECT o.file_id, o.f AS a, n.f AS b, count(DISTINCT o.rec) AS n FROM x o JOIN x n ON n.is_new AND NOT o.is_new AND n.file_id = o.file_id AND n.rec = o.rec GROUP BY ALL),
+ren AS (SELECT file_id, a, b FROM e JOIN sh USING (file_id, a, b) WHERE eq * 2 > n QUALIFY row_number() OVER (PARTITION BY file_id, a ORDER BY eq / n DESC, eq DESC, b) = 1 AND row_number() OVER (PARTITION BY file_id, b ORDER BY eq / n DESC, eq DESC, a) = 1),
+report AS (SELECT file_id, 'renamed' AS change_kind, a AS old_field, b AS new_field FROM ren
+  UNION ALL SELECT file_id, 'retyped', f, f FROM d WHERE is_new AND is_old AND nt <> ot
+  UNION ALL SELECT file_id, 'removed', f, '' FROM d WHERE NOT is_new AND NOT EXISTS (SELECT 1 FROM ren r WHERE r.file_id = d.file_id AND r.a = d.f)
+  UNION ALL SELECT file_id, 'added', '', f FROM d WHERE NOT is_old AND NOT EXISTS (SELECT 1 FROM ren r WHERE r.file_id = d.file_id AND r.b = d.f))"""
+
 SQL = {
-    "p1_alternatives": """WITH o AS (SELECT source, file_id, collected_at, CASE WHEN json_valid(payload) THEN payload END::JSON AS p FROM landed_lines),
-k AS (SELECT source, file_id, collected_at, p, unnest(json_keys(p)) AS field FROM o WHERE json_type(p) = 'OBJECT'),
-t AS (SELECT source, file_id, collected_at, field, json_type(p, '$."' || field || '"') AS j FROM k)
-SELECT source, field, CASE j WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'ARRAY' THEN 'array' WHEN 'OBJECT' THEN 'object' ELSE 'number' END AS tag, count(*) AS n_values,
-arg_min(file_id, (epoch_us(collected_at), file_id)) AS first_file FROM t WHERE j <> 'NULL' GROUP BY 1, 2, 3""",
+    "p1_alternatives": f"""WITH RECURSIVE {_LINES},
+t AS (SELECT source, file_id, collected_at, unnest(list_transform(json_keys(p), lambda k: {{'path': k, 'j': json_extract(p, '$."' || k || '"')}})) AS x FROM ok
+UNION ALL SELECT source, file_id, collected_at, unnest(CASE json_type(x.j) WHEN 'OBJECT' THEN list_transform(json_keys(x.j), lambda k: {{'path': x.path || '.' || k, 'j': json_extract(x.j, '$."' || k || '"')}}) WHEN 'ARRAY' THEN list_transform(json_extract(x.j, '$[*]'), lambda e: {{'path': x.path || '[]', 'j': e}}) ELSE [] END) FROM t)
+SELECT source, x.path AS path, {_TAG.format(j="x.j")} AS tag, count(*) AS n_values, arg_min(file_id, (epoch_us(collected_at), file_id)) AS first_file FROM t WHERE json_type(x.j) <> 'NULL' GROUP BY 1, 2, 3""",
+    "p1_found": f"""WITH {_LINES}, {_DRIFT} SELECT file_id, change_kind, old_field, new_field FROM report""",
     "p2_found": _P2,
     "p3_found": f"SELECT event_id FROM (SELECT {_UUID} AS event_id FROM bronze_events) GROUP BY event_id HAVING count(*) > 1",
     "p3_kept": f"""SELECT {_UUID} AS event_id, source, event_type, epoch_us(ingested_at) AS ingested_us, _kafka_partition, _kafka_offset, content_hash FROM bronze_events
