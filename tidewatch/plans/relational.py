@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions.text import hmac_sha256, redact_ipv4, words
 from tidewatch.functions.urls import ipv4_24, url_host, url_last_segment, url_port
+from tidewatch.operators.ranking import numbered, quantiles as exact_quantiles
 from tidewatch.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,11 +78,10 @@ def dedup_content_hash(s, d):
     return again.select("event_id", F.sha2(F.concat_ws("|", "user_id", "event_type", "props"), 256).alias("content_hash")).groupBy("content_hash").agg(F.min("event_id").alias("event_id"))
 
 
-@query("SELECT event_id, value_rank FROM (SELECT event_id, row_number() OVER (ORDER BY value DESC, ts, event_id) AS value_rank FROM events) WHERE value_rank <= 1000")
+@query("SELECT event_id, row_number() OVER (ORDER BY value DESC, ts, event_id) AS value_rank FROM events")
 def rank_global(s, d):
-    """Numbers the 1,000 highest of all rows; a number over all rows needs one order of them."""
-    top = _events(s, d).orderBy(F.desc("value"), "ts", "event_id").limit(1000)
-    return top.withColumn("value_rank", F.row_number().over(Window.orderBy(F.desc("value"), "ts", "event_id"))).select("event_id", "value_rank")
+    """Every row's place in one order of all rows."""
+    return numbered(_events(s, d).select("event_id", "value", "ts"), [F.desc_nulls_last("value"), F.asc_nulls_last("ts"), F.asc_nulls_last("event_id")], "value_rank").select("event_id", "value_rank")
 
 
 @query("SELECT user_id, event_id, CASE WHEN event_type = 'purchase' THEN row_number() OVER (PARTITION BY user_id, event_type = 'purchase' ORDER BY value DESC, event_id) END AS purchase_rank FROM events")
@@ -126,16 +126,18 @@ def mode_k_per_group(s, d):
 
 @query("SELECT event_type, round(quantile_cont(value, 0.5), 6) AS median, round(quantile_cont(value, 0.25), 6) AS q25, round(quantile_cont(value, 0.75), 6) AS q75, round(quantile_cont(value, 0.99), 6) AS q99, round(stddev_pop(value), 6) AS std FROM events GROUP BY event_type")
 def quantiles(s, d):
-    p = F.percentile("value", F.array(*(F.lit(x) for x in (0.5, 0.25, 0.75, 0.99))))
-    return _events(s, d).groupBy("event_type").agg(p.alias("p"), F.round(F.stddev_pop("value"), 6).alias("std")).select("event_type", *(F.round(F.col("p")[i], 6).alias(n) for i, n in enumerate(("median", "q25", "q75", "q99"))), "std")
+    e = _events(s, d).select("event_type", "value")
+    std = e.groupBy("event_type").agg(F.round(F.stddev_pop("value"), 6).alias("std"))
+    q = exact_quantiles(e, ["event_type"], "value", (0.5, 0.25, 0.75, 0.99))
+    return q.join(std, "event_type").select("event_type", *(F.round(F.col("values")[i], 6).alias(n) for i, n in enumerate(("median", "q25", "q75", "q99"))), "std")
 
 
 @query("""SELECT e.event_id, round((e.value - q.m) / CASE WHEN q.b > q.a THEN q.b - q.a WHEN q.s > 0 THEN q.s ELSE 1 END, 6) AS z FROM events e JOIN (SELECT event_type, quantile_cont(value, 0.5) AS m, quantile_cont(value, 0.25) AS a, quantile_cont(value, 0.75) AS b, stddev_pop(value) AS s FROM events GROUP BY 1) q USING (event_type)""")
 def robust_z(s, d):
-    e = _events(s, d)
-    q = e.groupBy("event_type").agg(F.percentile("value", F.array(F.lit(0.5), F.lit(0.25), F.lit(0.75))).alias("p"), F.stddev_pop("value").alias("s"))
-    spread = F.col("p")[2] - F.col("p")[1]
-    return e.join(q, "event_type").select("event_id", F.round((F.col("value") - F.col("p")[0]) / F.when(spread > 0, spread).when(F.col("s") > 0, F.col("s")).otherwise(1.0), 6).alias("z"))
+    e = _events(s, d).select("event_id", "event_type", "value")
+    q = exact_quantiles(e, ["event_type"], "value", (0.5, 0.25, 0.75)).join(e.groupBy("event_type").agg(F.stddev_pop("value").alias("s")), "event_type")  # a row per type
+    spread = F.col("values")[2] - F.col("values")[1]
+    return e.join(q, "event_type").select("event_id", F.round((F.col("value") - F.col("values")[0]) / F.when(spread > 0, spread).when(F.col("s") > 0, F.col("s")).otherwise(1.0), 6).alias("z"))
 
 
 @query("SELECT event_id, round(ln(1 + greatest(value, 0)), 6) AS log_value, round(-ln(count(*) OVER (PARTITION BY event_type)::DOUBLE / count(*) OVER ()), 6) AS rarity, (event_type = 'error')::INTEGER AS is_error FROM events")
@@ -285,17 +287,9 @@ def quality_report(s, d):
 # --- vectors, search, scoring ---------------------------------------------------------------
 
 
-@query("SELECT vec_id, round(score, 6) AS score FROM (SELECT e.vec_id, list_cosine_similarity(e.embedding::DOUBLE[], q.embedding::DOUBLE[]) AS score FROM embeddings e, (SELECT embedding FROM embeddings WHERE vec_id = 0) q) ORDER BY round(score, 6) DESC, vec_id LIMIT 10")
-def vector_topk(s, d):
-    from tidewatch.ml.search import cosine_topk
-
-    e = table(s, d, "embeddings")
-    return cosine_topk(e, "vec_id", "embedding", e.where("vec_id = 0").select("embedding").first()[0], 10)
-
-
 @query("""WITH q AS (SELECT vec_id, embedding FROM embeddings WHERE vec_id % 100 = 0), c AS (SELECT q.vec_id AS query_id, e.vec_id, round(list_cosine_similarity(e.embedding::DOUBLE[], q.embedding::DOUBLE[]), 6) AS score FROM embeddings e, q)
 SELECT query_id, vec_id, score FROM c QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 10""")
-def vector_topk_hundredth(s, d):
+def vector_topk(s, d):
     """The ten nearest of every hundredth vector, itself among them."""
     from tidewatch.ml.search import nearest
 
@@ -335,17 +329,9 @@ def _precision_at_5(e, queries):
     return hits.groupBy("query_id").agg(F.round(F.avg((F.col("hl") == F.col("ql")).cast("int")), 6).alias("precision_at_5"))
 
 
-@query("""WITH q AS (SELECT vec_id, embedding, label FROM embeddings WHERE vec_id < 20), c AS (SELECT q.vec_id AS q, q.label AS ql, e.label AS el, row_number() OVER (PARTITION BY q.vec_id ORDER BY round(list_cosine_similarity(e.embedding::DOUBLE[], q.embedding::DOUBLE[]), 9) DESC, e.vec_id) AS r FROM embeddings e JOIN q ON e.vec_id <> q.vec_id)
-SELECT q AS query_id, round(avg((ql = el)::INTEGER), 6) AS precision_at_5 FROM c WHERE r <= 5 GROUP BY q""")
-def precision_at_k(s, d):
-    """Of twenty stated queries, the share of their five nearest that carry their label."""
-    e = table(s, d, "embeddings")
-    return _precision_at_5(e, e.where("vec_id < 20"))
-
-
 @query("""WITH q AS (SELECT vec_id, embedding, label FROM embeddings WHERE vec_id % 100 = 0), c AS (SELECT q.vec_id AS q, q.label AS ql, e.label AS el, row_number() OVER (PARTITION BY q.vec_id ORDER BY round(list_cosine_similarity(e.embedding::DOUBLE[], q.embedding::DOUBLE[]), 9) DESC, e.vec_id) AS r FROM embeddings e JOIN q ON e.vec_id <> q.vec_id)
 SELECT q AS query_id, round(avg((ql = el)::INTEGER), 6) AS precision_at_5 FROM c WHERE r <= 5 GROUP BY q""")
-def precision_at_k_hundredth(s, d):
+def precision_at_k(s, d):
     """Of every hundredth vector as a query, the share of its five nearest that carry its label."""
     e = table(s, d, "embeddings")
     return _precision_at_5(e, e.where("vec_id % 100 = 0"))

@@ -31,16 +31,6 @@ def _by_source(events: DataFrame) -> list[tuple[str | None, DataFrame]]:
 
 
 def stream_bronze(spark: SparkSession, d: str) -> DataFrame:
-    """Feed events through a topic and the Bronze stream, read again as a table."""
-    root = _folder(spark, "stream")
-    log, topic = TopicLog(spark, f"{root}/log"), topic_name("urlhaus")
-    log.create(TopicSpec(topic))
-    log.produce(topic, _envelopes(spark, d).where("source = 'urlhaus'"))
-    sync(spark, log, topic, f"{root}/bronze", f"{root}/letters", f"{root}/checkpoint")
-    return Table(spark, f"{root}/bronze", BRONZE).read().groupBy("source", "event_type").agg(F.count("*").alias("n"), F.countDistinct("event_id").alias("ids"))
-
-
-def stream_bronze_sources(spark: SparkSession, d: str) -> DataFrame:
     """Every source through a topic of its own and into one Bronze table, read again; what isn't valid is in the dead letters."""
     root, events = _folder(spark, "stream"), _envelopes(spark, d)
     log = TopicLog(spark, f"{root}/log")
@@ -53,16 +43,6 @@ def stream_bronze_sources(spark: SparkSession, d: str) -> DataFrame:
 
 
 def time_travel(spark: SparkSession, d: str) -> DataFrame:
-    """Two commits; the first version, and both."""
-    b = table(spark, d, "bronze_events").select(*BRONZE.names)
-    t = Table(spark, _folder(spark, "versions"), BRONZE)
-    t.append(b.where("source = 'tor_exit'"))
-    t.append(b.where("source = 'feodo'"))
-    count = lambda v: t.read(version=v).groupBy("source").agg(F.count("*").alias("n")).select(F.lit(v).alias("version"), "source", "n")
-    return count(1).unionByName(count(2))
-
-
-def time_travel_sources(spark: SparkSession, d: str) -> DataFrame:
     """A commit per source, in the order of their names, which together hold the whole table; every version."""
     b = table(spark, d, "bronze_events").select(*BRONZE.names)
     t = Table(spark, _folder(spark, "versions"), BRONZE)
@@ -71,10 +51,8 @@ def time_travel_sources(spark: SparkSession, d: str) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
-QUERIES = {f.__name__: f for f in (stream_bronze, stream_bronze_sources, time_travel, time_travel_sources)}
+QUERIES = {f.__name__: f for f in (stream_bronze, time_travel)}
 SQL = {
-    "stream_bronze": "SELECT source, event_type, count(*) AS n, count(DISTINCT event_id) AS ids FROM bronze_events WHERE source = 'urlhaus' GROUP BY 1, 2",
-    "time_travel": "SELECT 1 AS version, source, count(*) AS n FROM bronze_events WHERE source = 'tor_exit' GROUP BY 2 UNION ALL SELECT 2, source, count(*) FROM bronze_events WHERE source IN ('tor_exit', 'feodo') GROUP BY 2",
-    "stream_bronze_sources": "SELECT source, event_type, count(*) AS n, count(DISTINCT event_id) AS ids FROM bronze_events GROUP BY 1, 2",
-    "time_travel_sources": "WITH s AS (SELECT source, count(*) AS n, row_number() OVER (ORDER BY source) AS v FROM bronze_events GROUP BY 1) SELECT a.v::INTEGER AS version, b.source, b.n FROM s a JOIN s b ON b.v <= a.v",
+    "stream_bronze": "SELECT source, event_type, count(*) AS n, count(DISTINCT event_id) AS ids FROM bronze_events GROUP BY 1, 2",
+    "time_travel": "WITH s AS (SELECT source, count(*) AS n, row_number() OVER (ORDER BY source) AS v FROM bronze_events GROUP BY 1) SELECT a.v::INTEGER AS version, b.source, b.n FROM s a JOIN s b ON b.v <= a.v",
 }
