@@ -2,61 +2,62 @@
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import CountVectorizer, NGram
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import SparseVector, VectorUDT
-from pyspark.sql import DataFrame, Window
+from pyspark.ml.linalg import VectorUDT
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewatch.functions.text import words
 from tidewatch.ml.metrics import folds, ranking_quality, require_both_classes, split_by_date
-
-
-def _grams(df: DataFrame, text: str) -> DataFrame:
-    one = df.withColumn("_w", words(F.col(text)))
-    return NGram(n=2, inputCol="_w", outputCol="_b").transform(one).withColumn("_g", F.concat("_w", "_b"))
+from tidewatch.operators.ranking import numbered
+from tidewatch.storage import fresh, settle, settled_as
 
 
 class TextModel:
     """Sublinear TF-IDF over words and pairs in at least two training texts, of unit length; L2-regularised with balanced classes.
 
-    The terms and their frequencies come from the training side alone.
+    The terms and their frequencies come from the training side alone; every such term counts, however many they are.
+    Weights are joined in, not sent to the driver. A text without known terms has a vector of zeros.
     """
 
-    def __init__(self, text: str, label: str, most_terms: int = 1 << 18, rounds: int = 300):
-        self.text, self.label, self.most_terms, self.rounds = text, label, most_terms, rounds
+    def __init__(self, text: str, label: str, rounds: int = 300):
+        self.text, self.label, self.rounds = text, label, rounds
 
-    def _features(self, df: DataFrame) -> DataFrame:
-        counted = self.terms.transform(_grams(df, self.text))
-        idf = self.idf  # as long as the vocabulary
+    def _terms(self, df: DataFrame, row: str) -> DataFrame:
+        w = words(F.col(self.text))
+        pairs = F.zip_with(F.slice(w, 1, F.greatest(F.size(w) - 1, F.lit(0))), F.slice(w, 2, F.greatest(F.size(w) - 1, F.lit(0))), lambda a, b: F.concat_ws(" ", a, b))
+        return df.select(row, F.explode(F.concat(w, pairs)).alias("_t")).groupBy(row, "_t").agg(F.count(F.lit(1)).alias("_c"))
 
-        def scaled(v):
-            x = (np.log(v.values) + 1) * idf[v.indices]
-            n = float(np.sqrt((x * x).sum()))
-            return SparseVector(v.size, v.indices, x / n if n else x)
-
-        # MLlib has no element-wise logarithm that keeps a vector sparse
-        return counted.withColumn("_x", F.udf(scaled, VectorUDT())("_c"))
+    def _features(self, df: DataFrame) -> DataFrame:
+        """``df`` with ``_x``: sparse vectors, put together by Spark itself."""
+        row = fresh(df.columns, "_tw_row")
+        rows = settle(df.withColumn(row, F.monotonically_increasing_id()), "texts")
+        weighted = self._terms(rows, row).join(self.vocabulary, "_t").select(row, F.struct("_i", ((F.log("_c") + 1) * F.col("_idf")).alias("w")).alias("e"))
+        packed = weighted.groupBy(row).agg(F.array_sort(F.collect_list("e")).alias("e"), F.sqrt(F.sum(F.col("e.w") * F.col("e.w"))).alias("l"))
+        held = F.coalesce("e", F.array().cast("array<struct<_i: int, w: double>>"))
+        vector = F.struct(F.lit(0).cast("byte").alias("type"), F.lit(self.size).alias("size"), F.transform(held, lambda e: e["_i"]).alias("indices"), F.transform(held, lambda e: e["w"] / F.col("l")).alias("values"))
+        made = rows.join(packed, row, "left").select(*df.columns, vector.alias("_x"))
+        return settled_as(made, T.StructType([*df.schema.fields, T.StructField("_x", VectorUDT())]), "vectors")
 
     def fit(self, train: DataFrame) -> TextModel:
-        grams = _grams(train, self.text).cache()
-        n = grams.count()
-        self.terms = CountVectorizer(inputCol="_g", outputCol="_c", minDF=2, vocabSize=self.most_terms).fit(grams)
-        df = grams.select(F.explode(F.array_distinct("_g")).alias("t")).groupBy("t").agg(F.count("*").alias("df")).where("df >= 2")
-        found = {r["t"]: r["df"] for r in df.collect()} if len(self.terms.vocabulary) else {}
-        self.idf = np.array([np.log((1 + n) / (1 + found[t])) + 1 for t in self.terms.vocabulary])
-        per = {r[self.label]: r["n"] for r in grams.groupBy(self.label).agg(F.count("*").alias("n")).collect()}  # two rows
+        row = fresh(train.columns, "_tw_row")
+        rows = settle(train.withColumn(row, F.monotonically_increasing_id()), "train")
+        per = {r[self.label]: r["n"] for r in rows.groupBy(self.label).agg(F.count(F.lit(1)).alias("n")).collect()}  # two rows
+        n = sum(per.values())
+        df = self._terms(rows, row).groupBy("_t").agg(F.count(F.lit(1)).alias("_df")).where("_df >= 2")
+        named = numbered(df, [F.col("_t")], "_i").select("_t", (F.col("_i") - 1).cast("int").alias("_i"), (F.log(F.lit(1.0 + n) / (F.col("_df") + 1)) + 1).alias("_idf"))
+        self.vocabulary = settle(named, "terms")
+        self.size = max(1, self.vocabulary.count())
         balance = F.when(F.col(self.label) == 1, n / (2 * per[1])).otherwise(n / (2 * per[0]))
         x = self._features(train).withColumn("_weight", balance).withColumn("_y", F.col(self.label).cast("double"))
         self.model = LogisticRegression(featuresCol="_x", labelCol="_y", weightCol="_weight", regParam=1 / n, elasticNetParam=0, standardization=False, maxIter=self.rounds).fit(x)
-        grams.unpersist()
         return self
 
     def score(self, df: DataFrame) -> DataFrame:
         """With ``probability`` of the positive class."""
-        return self.model.transform(self._features(df)).withColumn("probability", vector_to_array("probability")[1]).drop("_w", "_b", "_g", "_c", "_x", "rawPrediction", "prediction")
+        return self.model.transform(self._features(df)).withColumn("probability", vector_to_array("probability")[1]).drop("_x", "rawPrediction", "prediction")
 
 
 def evaluate_temporal(df: DataFrame, text: str, label: str, day: str, cutoff: str) -> tuple[DataFrame, TextModel]:
@@ -71,7 +72,7 @@ def evaluate_temporal(df: DataFrame, text: str, label: str, day: str, cutoff: st
 
 def out_of_fold(df: DataFrame, text: str, label: str, key: str, k: int = 5, seed: int = 42) -> DataFrame:
     """Every row scored by a model that hasn't seen it; ``k`` fits."""
-    part = folds(df, label, F.xxhash64(F.lit(seed), key), k).cache()
+    part = settle(folds(df, label, [F.xxhash64(F.lit(seed), key), F.col(key)], k), "folds")
     out = None
     for i in range(k):
         scored = TextModel(text, label).fit(part.where(F.col("fold") != i)).score(part.where(F.col("fold") == i)).select(key, "fold", "probability")
@@ -81,6 +82,7 @@ def out_of_fold(df: DataFrame, text: str, label: str, key: str, k: int = 5, seed
 
 def watch_list(scored: DataFrame, label: str, day: str, cutoff: str, key: str) -> DataFrame:
     """``on_watchlist`` and ``watchlist_rank``: unlinked records from the cutoff on, likeliest first; null for all others."""
-    on = (F.col(day) >= F.lit(cutoff).cast("date")) & (F.col(label) == 0)
-    w = Window.partitionBy("on_watchlist").orderBy(F.desc("probability"), key)
-    return scored.withColumn("on_watchlist", F.coalesce(on, F.lit(False))).withColumn("watchlist_rank", F.when(F.col("on_watchlist"), F.row_number().over(w)))
+    on = F.coalesce((F.col(day) >= F.lit(cutoff).cast("date")) & (F.col(label) == 0), F.lit(False))
+    marked = scored.withColumn("on_watchlist", on)
+    listed = numbered(marked.where("on_watchlist"), [F.desc("probability"), F.col(key)], "watchlist_rank")
+    return listed.unionByName(marked.where("not on_watchlist").withColumn("watchlist_rank", F.lit(None).cast("long")))

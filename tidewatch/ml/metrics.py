@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewatch.operators.ranking import numbered
+from tidewatch.storage import fresh
+
 
 def split_by_date(df: DataFrame, day: str, cutoff: str) -> DataFrame:
     """``side``: ``train`` before the cutoff, ``test`` from that day on; rows without a date are on neither side."""
@@ -19,9 +24,12 @@ def require_both_classes(split: DataFrame, label: str) -> None:
             raise ValueError(f"the {side} side needs both classes")
 
 
-def folds(df: DataFrame, label: str, order: Column, k: int) -> DataFrame:
-    """``fold`` 0 to k - 1, as even as can be within each class."""
-    return df.withColumn("fold", (F.row_number().over(Window.partitionBy(label).orderBy(order)) - 1) % k)
+def folds(df: DataFrame, label: str, order: Sequence[Column], k: int) -> DataFrame:
+    """``fold`` 0 to k - 1, as even as can be within each class; ``order`` should end in a full tie-break. A class isn't gathered in one task."""
+    at = fresh(df.columns, "_tw_place")
+    placed = numbered(df, [F.asc_nulls_first(label), *order], at)
+    first = placed.groupBy(F.col(label).alias("_tw_label")).agg(F.min(at).alias("_tw_first"))  # a row per class
+    return placed.join(F.broadcast(first), F.col(label).eqNullSafe(F.col("_tw_label"))).withColumn("fold", (F.col(at) - F.col("_tw_first")) % k).drop(at, "_tw_label", "_tw_first")
 
 
 def fold_count(minority: int) -> int:

@@ -17,6 +17,16 @@ from pyspark.sql import functions as F
 from tidewatch.storage import shared_dir
 
 _WORD = "[a-z0-9]{2,}"
+#: A word of any script for keyword search.
+TERM = r"[\p{L}\p{N}_]{2,}"
+#: English words that say nothing about a text's subject.
+STOP_WORDS = tuple(
+    """about above after again against all also although always among an and another any are around as at be became because been before being below
+    between both but by can cannot could did do does doing done down during each either else ever every few for from further had has have having he her here hers
+    him his how however if in into is it its itself just many may me might more most much must my neither no nor not now of off often on once one only or other
+    others our ours out over own perhaps rather same she should since so some such than that the their theirs them then there these they this those through
+    to together too under until up upon us very was we well were what when where whether which while who whom whose why will with within without would yet you your yours""".split()
+)
 
 
 class Embedder(Protocol):
@@ -133,19 +143,27 @@ def tfidf(docs: DataFrame, key: str, terms: Column, sublinear: bool = True, bina
     return w.join(size, key).select(key, "term", (F.col("w") / F.col("l")).alias("weight"))
 
 
-def keyword_scores(docs: DataFrame, key: str, text: str, query: Sequence[str]) -> DataFrame:
-    """``(key, score)``: cosine of TF-IDF vectors of the documents with the query's; documents without a query word are left out."""
+def keyword_terms(text: Column) -> Column:
+    """Lower-case words of any script without stop words, and the pairs of those that then follow one another."""
+    w = F.filter(F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(TERM), F.lit(0)), lambda t: ~t.isin(*STOP_WORDS))
+    rest = F.greatest(F.size(w) - 1, F.lit(0))
+    return F.concat(w, F.zip_with(F.slice(w, 1, rest), F.slice(w, 2, rest), lambda a, b: F.concat_ws(" ", a, b)))
+
+
+def keyword_scores(docs: DataFrame, key: str, text: str, query: str) -> DataFrame:
+    """``(key, score)``: cosine of sublinear TF-IDF vectors over words and pairs with the query's; documents without a term of it are left out."""
     words = docs.where(F.col(text).isNotNull())
-    terms = F.regexp_extract_all(F.lower(text), F.lit(_WORD), F.lit(0))
-    long = words.select(key, F.explode(terms).alias("term")).groupBy(key, "term").agg(F.count(F.lit(1)).alias("c"))
+    long = words.select(key, F.explode(keyword_terms(F.col(text))).alias("term")).groupBy(key, "term").agg(F.count(F.lit(1)).alias("c"))
     df = long.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     n = words.count()
     idf = df.select("term", (F.log(F.lit(1.0 + n) / (F.col("df") + 1)) + 1).alias("idf"))
-    weighted = long.join(idf, "term").select(key, "term", ((F.log("c") + 1) * F.col("idf")).alias("w"), F.when(F.col("term").isin(list(query)), F.col("idf")).alias("q"))
-    length = [r["idf"] for r in idf.where(F.col("term").isin(list(query))).select("idf").collect()]  # a value per query word
-    size = float(np.sqrt(np.sum(np.square(length)))) or 1.0
-    agg = weighted.groupBy(key).agg(F.sum(F.col("w") * F.col("q")).alias("d"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("l"))
-    return agg.where("d is not null").select(key, F.round(F.col("d") / (F.col("l") * F.lit(size)), 6).alias("score"))
+    asked = docs.sparkSession.createDataFrame([(query,)], "q string").select(F.explode(keyword_terms(F.col("q"))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("qc"))
+    wanted = F.broadcast(idf.join(F.broadcast(asked), "term").select("term", ((F.log("qc") + 1) * F.col("idf")).alias("q")))  # a row per term of the query
+    size = wanted.agg(F.sqrt(F.sum(F.col("q") * F.col("q"))).alias("ql"))  # one row
+    weighted = long.join(idf, "term").select(key, "term", ((F.log("c") + 1) * F.col("idf")).alias("w"))
+    length = weighted.groupBy(key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("l"))
+    agg = weighted.join(wanted, "term").groupBy(key).agg(F.sum(F.col("w") * F.col("q")).alias("d")).join(length, key)
+    return agg.crossJoin(F.broadcast(size)).select(key, F.round(F.col("d") / (F.col("l") * F.col("ql")), 6).alias("score"))
 
 
 def ranked(scores: DataFrame, key: str, score: str, depth: int) -> DataFrame:
@@ -184,3 +202,38 @@ def refresh(current: DataFrame, indexed: DataFrame | None, key: str, text: str,
     gone = indexed.join(now.select(key), key, "left_anti").count() if indexed is not None else 0
     stats = {"embedded": todo.count(), "kept": kept.count() if kept is not None else 0, "removed": gone}
     return (kept.select(*mark, "embedding").unionByName(made) if kept is not None else made), stats
+
+
+def indexed_texts(index: DataFrame, current: DataFrame, key: str, text: str, embedder: Embedder) -> DataFrame:
+    """The index of one model beside the current texts: ``(key, text, embedding)``; vectors of other models and of keys that are gone are left out.
+
+    No vectors of this model is an error: the index must be built first.
+    """
+    own = index.where(F.col("model") == embedder.name)
+    if own.isEmpty():
+        raise LookupError(f"no vectors of {embedder.name}: build the index first")
+    return own.select(key, "embedding").join(current.select(key, text), key)
+
+
+def ask(index: DataFrame, current: DataFrame, key: str, text: str, embedder: Embedder, question: str, k: int = 10) -> DataFrame:
+    """``(key, text, score)`` of the ``k`` records nearest to a question, best first; a blank question or ``k`` below one finds nothing."""
+    have = indexed_texts(index, current, key, text, embedder)
+    if not question.strip() or k < 1:
+        return have.select(key, text, F.lit(0.0).alias("score")).limit(0)
+    hits = cosine_topk(have, key, "embedding", list(embedder.query(question)), k)
+    return hits.join(have.select(key, text), key).select(key, text, "score").orderBy(F.desc("score"), key)
+
+
+def leaks(question: str, phrases: Sequence[str]) -> list[str]:
+    """The words of an answer's phrases that stand in the question already: such a question tests no search."""
+    asked = set(re.findall(_WORD, question.lower()))
+    return sorted({w for p in phrases for w in re.findall(_WORD, p.lower())} & asked - set(STOP_WORDS))
+
+
+def evaluate(rankings: DataFrame, answers: DataFrame, k: int = 5) -> DataFrame:
+    """``(question, precision)``: of the first ``k`` hits, the share that belongs to the question's answers.
+
+    ``rankings``: ``(question, key, place)``; ``answers``: ``(question, key)``. Fewer hits than ``k`` count as misses; a question without hits has 0.
+    """
+    good = rankings.where(F.col("place") <= k).join(answers.select("question", "key").distinct(), ["question", "key"]).groupBy("question").agg(F.count(F.lit(1)).alias("n"))
+    return answers.select("question").distinct().join(good, "question", "left").select("question", (F.coalesce("n", F.lit(0)) / F.lit(k)).alias("precision"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions.text import hmac_sha256, redact_ipv4, words
 from tidewatch.functions.urls import ipv4_24, url_host, url_last_segment, url_port
+from tidewatch.ml.search import STOP_WORDS
 from tidewatch.operators.ranking import numbered, quantiles as exact_quantiles
 from tidewatch.sources.tables import table
 
@@ -297,10 +298,12 @@ def vector_topk(s, d):
     return nearest(e.where("vec_id % 100 = 0"), e, "vec_id", "embedding", 10, digits=6, own=True).select("query_id", F.col("hit_id").alias("vec_id"), "score")
 
 
-_DOCS = "docs AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z0-9]{2,}') AS w FROM documents WHERE text IS NOT NULL), n AS (SELECT count(*) AS n FROM docs)"
-_KEYWORD = f"""{_DOCS}, tf AS (SELECT doc_id, t, count(*) AS c FROM (SELECT doc_id, unnest(w) AS t FROM docs) GROUP BY 1, 2), df AS (SELECT t, count(*) AS df FROM tf GROUP BY t),
+_STOP = ", ".join(f"'{w}'" for w in STOP_WORDS)
+_GRAMS = "list_concat(w, list_transform(generate_series(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1]))"
+_KEYWORD = f"""docs AS (SELECT doc_id, {_GRAMS} AS w FROM (SELECT doc_id, list_filter(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]{{2,}}'), lambda t: t NOT IN ({_STOP})) AS w FROM documents WHERE text IS NOT NULL)), n AS (SELECT count(*) AS n FROM docs),
+tf AS (SELECT doc_id, t, count(*) AS c FROM (SELECT doc_id, unnest(w) AS t FROM docs) GROUP BY 1, 2), df AS (SELECT t, count(*) AS df FROM tf GROUP BY t),
 wt AS (SELECT tf.doc_id, tf.t, (1 + ln(c)) * (ln((1 + n)::DOUBLE / (1 + df)) + 1) AS x FROM tf JOIN df USING (t), n), nrm AS (SELECT doc_id, sqrt(sum(x * x)) AS l FROM wt GROUP BY 1),
-q AS (SELECT t, ln((1 + n)::DOUBLE / (1 + df)) + 1 AS x FROM df, n WHERE t IN ('ransomware', 'gateway', 'login')), ql AS (SELECT sqrt(sum(x * x)) AS l FROM q),
+q AS (SELECT t, ln((1 + n)::DOUBLE / (1 + df)) + 1 AS x FROM df, n WHERE t IN ('ransomware', 'gateway', 'login', 'ransomware gateway', 'gateway login')), ql AS (SELECT sqrt(sum(x * x)) AS l FROM q),
 score AS (SELECT doc_id, round(sum(wt.x * q.x) / (any_value(nrm.l) * any_value(ql.l)), 6) AS score FROM wt JOIN q USING (t) JOIN nrm USING (doc_id), ql GROUP BY doc_id)"""
 
 
@@ -308,7 +311,7 @@ score AS (SELECT doc_id, round(sum(wt.x * q.x) / (any_value(nrm.l) * any_value(q
 def keyword_search(s, d):
     from tidewatch.ml.search import keyword_scores
 
-    return keyword_scores(table(s, d, "documents"), "doc_id", "text", ["ransomware", "gateway", "login"]).orderBy(F.desc("score"), "doc_id").limit(20)
+    return keyword_scores(table(s, d, "documents"), "doc_id", "text", "the ransomware gateway login").orderBy(F.desc("score"), "doc_id").limit(20)
 
 
 @query(f"""WITH {_KEYWORD}, a AS (SELECT doc_id AS id, row_number() OVER (ORDER BY score DESC, doc_id) AS r FROM score QUALIFY r <= 50), b AS (SELECT doc_id AS id, row_number() OVER (ORDER BY n_chars DESC, doc_id) AS r FROM documents QUALIFY r <= 50)
@@ -317,7 +320,7 @@ def rrf_fusion(s, d):
     from tidewatch.ml.search import fuse, keyword_scores, ranked
 
     docs = table(s, d, "documents")
-    a = ranked(keyword_scores(docs, "doc_id", "text", ["ransomware", "gateway", "login"]), "doc_id", "score", 50)
+    a = ranked(keyword_scores(docs, "doc_id", "text", "the ransomware gateway login"), "doc_id", "score", 50)
     b = ranked(docs.select("doc_id", F.col("n_chars").alias("score")), "doc_id", "score", 50)
     return fuse([a, b], "doc_id").select(F.col("doc_id").alias("id"), F.round("fused", 9).alias("fused"))
 
@@ -361,7 +364,7 @@ def temporal_split(s, d):
 def stratified_folds(s, d):
     from tidewatch.ml.metrics import folds
 
-    return folds(table(s, d, "embeddings"), "label", F.col("vec_id"), 5).groupBy("label", F.col("fold").cast("long").alias("fold")).agg(F.count("*").alias("n"))
+    return folds(table(s, d, "embeddings"), "label", [F.col("vec_id")], 5).groupBy("label", F.col("fold").cast("long").alias("fold")).agg(F.count("*").alias("n"))
 
 
 @query("WITH g AS (SELECT label AS c, vec_id % 5 AS net, count(*) AS n FROM embeddings GROUP BY 1, 2), w AS (SELECT sum(n * (n - 1) / 2)::BIGINT AS same FROM g), t AS (SELECT sum(n * (n - 1) / 2)::BIGINT AS pairs FROM (SELECT c, sum(n) AS n FROM g GROUP BY 1)) SELECT same AS same_net_pairs, pairs AS within_pairs, round(same / pairs, 6) AS within_rate FROM w, t")

@@ -9,22 +9,26 @@ from __future__ import annotations
 
 import atexit
 import os
+import re
 import shutil
 import tempfile
 import uuid
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The session's checkpoint folder; a temporary one only where none is set."""
+    """The session's checkpoint folder. Where none is set a temporary one is made, and set, if all runs in this process; a cluster without one is refused."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = spark.conf.get("spark.tidewatch.localCheckpointFolder", None)
+        folder = spark.conf.get("spark.tidewatch.folder", None)
         if not folder:
+            if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+                raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
             folder = tempfile.mkdtemp(prefix="tidewatch-")
-            spark.conf.set("spark.tidewatch.localCheckpointFolder", folder)
+            spark.conf.set("spark.tidewatch.folder", folder)
             atexit.register(shutil.rmtree, folder, ignore_errors=True)
     return folder.rstrip("/")
 
@@ -51,13 +55,40 @@ def ship_package(spark: SparkSession) -> None:
     context.addPyFile(path)
 
 
+_written: dict[str, list[tuple[SparkSession, str]]] = {}
+
+
 def settle(df: DataFrame, name: str = "step") -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: the lineage is cut and the work done once."""
+    """Write ``df`` to the shared folder and read it back: the lineage is cut and the work done once.
+
+    The table stays until ``clear_settled`` or the end of this Python process.
+    """
+    return settled_as(df, df.schema, name)
+
+
+def settled_as(df: DataFrame, schema: StructType, name: str = "step") -> DataFrame:
+    """As ``settle``, read with another schema of the same layout (a struct as the vector that is stored like it)."""
     spark = df.sparkSession
     ship_package(spark)
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if not _written:
+        atexit.register(clear_settled)
+    _written.setdefault(spark.sparkContext.applicationId, []).append((spark, path))
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(schema).parquet(path)
+
+
+def clear_settled(spark: SparkSession | None = None) -> int:
+    """Delete what ``settle`` has written, of one application or of all; how many tables. Results that still read them must be written first."""
+    n = 0
+    for app in [spark.sparkContext.applicationId] if spark is not None else list(_written):
+        for session, path in _written.pop(app, []):
+            try:
+                Files(session).remove(path)
+                n += 1
+            except Exception:  # noqa: BLE001 - the session has ended; its folder is the cluster's to clear
+                break
+    return n
 
 
 def tasks(spark: SparkSession) -> int:
