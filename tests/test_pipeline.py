@@ -51,10 +51,10 @@ def test_golden_sessions(spark):
     assert first["f"] == "evt-5"  # the copy that arrived first
 
 
-def test_casts_that_fail_are_null(spark):
+def test_casts_that_fail_are_null_and_decimals_are_rounded(spark):
     p = json.dumps({"ip_address": "100.64.0.1", "port": "443.7", "first_seen": "never", "last_online": "2026-09", "as_number": " 5 "})
     [r] = m.stg_feodo(spark.createDataFrame([("e", "feodo", T0, T0, p, "c", "h", 1)], BRONZE_ROW)).collect()
-    assert (r["port"], r["first_seen"], r["last_online"], r["as_number"]) == (None, None, None, 5)
+    assert (r["port"], r["first_seen"], r["last_online"], r["as_number"]) == (444, None, None, 5)
 
 
 def test_catalogue_three_times_is_one_row_per_cve(spark, tmp_path):
@@ -163,3 +163,65 @@ def test_commands(capsys):
 
     assert main(["sources"]) == 0 and "urlhaus" in capsys.readouterr().out
     assert main(["version"]) == 0
+
+
+def test_the_graph_from_delivered_files(spark, tmp_path, monkeypatch, capsys):
+    """Files into topics, Bronze, models, ML and the export, by the commands."""
+    from tidewatch import cli
+
+    monkeypatch.setenv("TIDEWATCH_HONEYPOT", "yes")
+    monkeypatch.setenv("TIDEWATCH_PSEUDONYM_KEY", "p" * 32)
+    monkeypatch.setattr("tidewatch.session.local_session", lambda *a, **k: spark)
+    root = str(tmp_path / "lake")
+    run = lambda *a: cli.main(["--root", root, *a])
+    kev = [{"cveID": f"CVE-{i}", "vendorProject": "V" if i % 2 else "W", "product": f"p{i % 5}", "vulnerabilityName": "remote code " + ("locker" if i % 3 == 0 else "browser"), "dateAdded": f"202{3 + (i > 20)}-01-{1 + i % 28:02}", "knownRansomwareCampaignUse": "Known" if i % 3 == 0 else "Unknown"} for i in range(30)]
+    (tmp_path / "k.json").write_text(json.dumps({"catalogVersion": "7", "vulnerabilities": kev}))
+    (tmp_path / "u.csv").write_text("# banner\n" + "".join(f'"{i}","2026-09-01 10:00:00","http://100.64.{i}.{j}/bin.sh","online","","malware_download","elf,mirai","l","r"\n' for i in range(3) for j in range(3)))
+    (tmp_path / "t.txt").write_text("100.64.0.1\n\n# note\n100.64.0.2\n")
+    (tmp_path / "f.json").write_text(json.dumps([{"ip_address": "100.64.0.1", "port": 443, "status": "online", "as_name": "X"}]))
+    logs = tmp_path / "log"
+    logs.mkdir()
+    (logs / "cowrie.json").write_text("".join(json.dumps({"eventid": e, "session": "s1", "src_ip": "100.64.0.7", "sensor": "a", "timestamp": "2026-09-14T21:00:00Z", **more}) + "\n" for e, more in (("cowrie.session.connect", {"protocol": "ssh"}), ("cowrie.login.failed", {"username": "root", "password": "100.64.0.7"}))) + "{broken\n")
+    for source, name in (("cisa_kev", "k.json"), ("urlhaus", "u.csv"), ("tor_exit", "t.txt"), ("feodo", "f.json")):
+        assert run("collect", source, str(tmp_path / name)) == 0
+    assert run("collect", "tor_exit", str(tmp_path / "t.txt"), "--dry-run") == 0
+    assert run("honeypot", "collect", str(logs), "--dry-run") == 0 and run("honeypot", "collect", str(logs)) == 0
+    assert run("honeypot", "files", str(logs)) == 0 and "cowrie.json" in capsys.readouterr().out
+    assert run("lag", "tor_exit") == 0 and '"total": 2' in capsys.readouterr().out  # the dry run added nothing
+    assert run("model", "build", "--job", "all", "--as-of", "2026-09-15") == 0, capsys.readouterr().out
+    out = capsys.readouterr().out
+    assert "built     ml.kev_ransomware_scores" in out and "unchanged ml.honeypot_session_anomalies" in out and "built     bronze.nvd" in out
+    assert run("lag", "tor_exit") == 0 and '"total": 0' in capsys.readouterr().out
+    assert run("model", "test") == 0 and run("model", "docs") == 0 and run("model", "show", "gold.c2_infrastructure") == 0
+    assert run("ml", "ask", "remote locker", "--top", "3") == 0 and "CVE-" in capsys.readouterr().out
+    assert run("ml", "embed") == 0 and run("ml", "runs") == 0 and "cve_embeddings" in capsys.readouterr().out
+    assert run("topics", "counts") == 0 and run("topics", "reconcile", "--dry-run") == 0 and run("tail", "urlhaus") == 0
+    assert run("lake", "tables") == 0 and run("lake", "history", "urlhaus") == 0 and run("lake", "sql", "SELECT count(*) AS n FROM bronze_urlhaus") == 0 and '"n": 9' in capsys.readouterr().out
+    assert run("model", "sql", "SELECT tag, urls FROM gold_malware_url_tags") == 0 and '"mirai"' in capsys.readouterr().out
+    assert run("publish", "export", str(tmp_path / "site")) == 0
+    from tidewatch import export
+
+    files = export.published(spark, str(tmp_path / "site"))
+    assert set(files) == {"summary", "vendors", "malware_tags", "c2", "campaigns", "watchlist", "honeypot"}
+    assert files["summary"]["counts"]["exploited_cves"] == 30 and files["c2"]["data"][0]["was_ever_tor_exit"] and files["watchlist"]["data"] and files["honeypot"]["data"]["top_passwords"][0]["value"] == "[ip]"
+    assert run("lake", "expire", "urlhaus") == 0 and run("lake", "letters") == 0 and run("config") == 0 and run("doctor") in (0, 1)
+
+
+def test_a_failed_bronze_source_leaves_the_others(spark):
+    """A model that may be built after a failure is, from what was built; without any it is skipped."""
+    from tidewatch.dag import Graph, Model
+
+    def lost():
+        raise OSError("unreachable")
+
+    one = lambda: spark.range(1)
+    union = Model("u", lambda *parts: parts[0], ("a", "b"), after_failure=True)
+    assert {n: o.status for n, o in Graph([Model("a", one), Model("b", lost), union]).run().items()} == {"a": "built", "b": "failed", "u": "built"}
+    assert Graph([Model("a", lost), Model("b", lost), union]).run()["u"].status == "skipped"
+
+
+def test_payloads_read_back(spark):
+    from tidewatch.sources.collect import payloads
+
+    df = spark.createDataFrame([('{"a": 1, "b": "x"}',), ("{broken",), ("[1]",), (None,)], "payload string")
+    assert [r["payload_map"] for r in payloads(df).collect()] == [{"a": "1", "b": "x"}, {"_unparsed": "{broken"}, {"_unparsed": "[1]"}, {"_unparsed": None}]

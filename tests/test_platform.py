@@ -7,7 +7,9 @@ import ipaddress
 import json
 import os
 import re
+import sys
 from datetime import datetime, timedelta, timezone
+from decimal import Decimal
 
 import pytest
 from hypothesis import given, settings
@@ -25,6 +27,7 @@ from tidewatch.schemas import BRONZE, DEAD_LETTER, Field, is_full_compatible
 from tidewatch.sources import envelope, feeds, rotating_log, sinks
 from tidewatch.streaming import bronze, topics
 from tidewatch.streaming.topics import TopicLog, TopicSpec, topic_name
+from tidewatch.warehouse import Warehouse
 
 
 def col(spark, values, fn, kind="string"):
@@ -340,11 +343,31 @@ def test_long_lines_of_a_rotating_log(spark, tmp_path):
 
 
 def test_listing_parser():
-    files = rotating_log.parse_listing("7\t10\tcowrie.json\n5\t20\tcowrie.json.2026-09-01\n", "cowrie.json")
-    assert [f.name for f in files] == ["cowrie.json.2026-09-01", "cowrie.json"]
-    for bad in ("7 10 x", "7\t10\t../x", "x\t1\ta"):
-        with pytest.raises(ValueError):
-            rotating_log.parse_listing(bad, "cowrie.json")
+    text = "7 10 cowrie.json\n5 20 cowrie.json.2026-09-01\n7\t10\tx\n8 10 ../x\nx 1 a\n1 2 3 4\n\n"
+    assert [(f.inode, f.name) for f in rotating_log.parse_listing(text, "cowrie.json")] == [(5, "cowrie.json.2026-09-01"), (7, "cowrie.json")]
+
+
+def test_logs_of_another_machine(tmp_path):
+    """Copies grow by what is new; rotation moves nothing; a reader that fails is an error."""
+    far = tmp_path / "far"
+    far.mkdir()
+    reader = tmp_path / "reader.py"
+    reader.write_text("import os, sys\nd = sys.argv[1]\nf = {os.stat(os.path.join(d, n)).st_ino: n for n in os.listdir(d)}\n" "if sys.argv[2] == 'list':\n    [print(i, os.path.getsize(os.path.join(d, n)), n) for i, n in f.items()]\n" "else:\n    h = open(os.path.join(d, f[int(sys.argv[3])]), 'rb'); h.seek(int(sys.argv[4])); sys.stdout.buffer.write(h.read(int(sys.argv[5])))\n")
+    (far / "cowrie.json").write_bytes(b"one\ntwo\n")
+    logs = rotating_log.RemoteLogs([sys.executable, str(reader), str(far)], "cowrie.json")
+    near = tmp_path / "near"
+    assert logs.fetch(str(near), chunk=3) == 8 and logs.fetch(str(near)) == 0
+    os.rename(far / "cowrie.json", far / "cowrie.json.2026-09-01")
+    (far / "cowrie.json").write_bytes(b"three\n")
+    assert logs.fetch(str(near)) == 6 and sorted(f.read_bytes() for f in near.iterdir()) == [b"one\ntwo\n", b"three\n"]
+    with pytest.raises(ConnectionError):
+        rotating_log.RemoteLogs([sys.executable, "-c", "raise SystemExit(3)"], "cowrie.json").files()
+
+
+def test_a_log_file_that_goes_away_is_an_error(tmp_path):
+    reader = rotating_log.RotatingLogReader(str(tmp_path), "cowrie.json", 100)
+    with pytest.raises(FileNotFoundError):
+        list(reader.read(rotating_log.Span(12345, 0, 10)))
 
 
 def test_sinks(spark, tmp_path):
@@ -394,15 +417,58 @@ def test_export_is_all_or_nothing(spark, tmp_path):
         export.honeypot(sessions, events, flagged, None)
     payload = export.honeypot(sessions, events, flagged, b"k" * 32)
     assert payload["top_first_commands"] == [{"value": "wget http://[ip]/x", "sessions": 1}] and payload["flagged_sessions"][0]["source"].startswith("anon-")
-    secrets = sessions.select("src_ip")
     out = str(tmp_path / "site")
-    assert export.publish(out, {"honeypot": payload, "c2": [{"ip_address": "100.64.0.9"}]}, secrets, commit="x") == ["c2", "honeypot", "meta"]
+    c2 = [{"ip_address": "100.64.0.9"}]  # published on purpose
+    assert export.publish(spark, out, {"honeypot": payload, "c2": c2, "summary": {"c2_servers": 1}}, sessions.select("src_ip"), revision="r") == ["c2", "honeypot", "summary"]
+    before = export.published(spark, out)
+    assert before["c2"]["data"] == c2 and before["summary"]["counts"] == {"c2_servers": 1} and before["summary"]["revision"] == "r" and before["summary"]["schema_version"] == 1
+    for leak in ({"ip": "100.64.0.8"}, {"x": ["wget http://100.64.1.9/a"]}):
+        with pytest.raises(export.ExportRefused):  # scanned without being asked
+            export.publish(spark, out, {"honeypot": leak, "c2": []})
     with pytest.raises(export.ExportRefused):
-        export.publish(str(tmp_path / "leak"), {"honeypot": {"ip": "100.64.0.8"}}, secrets)
-    assert not (tmp_path / "leak").exists() and "100.64.0.9" not in open(f"{out}/honeypot.json").read()
+        export.publish(spark, out, {"honeypot": {"x": "from fe80::7"}}, spark.createDataFrame([("fe80::7",), (None,), (" ",)], "v string"))
+    assert export.published(spark, out) == before
     assert export.honeypot(None, None, None, None) == {"available": False}
 
 
+def test_seven_files_from_a_small_warehouse(spark, tmp_path):
+    day = datetime(2026, 9, 1).date()
+    w = Warehouse(spark, str(tmp_path))
+    w.save("silver.kev_vulnerabilities", spark.createDataFrame([("c1", "Microsoft", True), ("c2", "Microsoft", False), ("c3", "Fortinet", None)], "cve_id string, vendor string, is_ransomware_linked boolean"))
+    w.save("silver.urlhaus_urls", spark.createDataFrame([("u1", "h", True), ("u2", "h", False)], "url string, host string, is_online boolean"))
+    w.save("gold.vendor_exploitation", spark.createDataFrame([(f"v{i}", i, 1, Decimal("4.0"), 2, day) for i in range(30)], "vendor string, exploited_cves int, ransomware_linked_cves int, ransomware_share_pct decimal(4,1), products_affected int, most_recently_added date"))
+    w.save("ml.kev_ransomware_scores", spark.createDataFrame([(1, "c1", "v", "p", "n", day, 0.5, True), (None, "c2", "v", "p", "n", day, 0.9, False)], "watchlist_rank long, cve_id string, vendor string, product string, vulnerability_name string, date_added date, ransomware_probability double, on_watchlist boolean"))
+    payloads = export.build(w.read, None)
+    assert sorted(payloads) == ["c2", "campaigns", "honeypot", "malware_tags", "summary", "vendors", "watchlist"]
+    s = payloads["summary"]
+    assert len(s) == 11 and (s["exploited_cves"], s["ransomware_linked_cves"], s["vendors"], s["malware_hosts"], s["c2_servers"], s["url_campaigns"]) == (3, 1, 2, 1, None, None)
+    assert len(payloads["vendors"]) == 25 and payloads["vendors"][0]["vendor"] == "v29" and payloads["c2"] == [] and [r["cve_id"] for r in payloads["watchlist"]] == ["c1"]
+    export.publish(spark, str(tmp_path / "site"), payloads)
+    assert export.published(spark, str(tmp_path / "site"))["vendors"]["data"][0] == {"vendor": "v29", "exploited_cves": 29, "ransomware_linked_cves": 1, "ransomware_share_pct": 4.0, "products_affected": 2, "most_recently_added": "2026-09-01"}
+    assert w.save("silver.urlhaus_urls", spark.createDataFrame([("u3",)], "url string")).columns == ["url"] and sorted(w.names())[0] == "gold.vendor_exploitation"
+    with pytest.raises(ValueError):
+        w.read("silver.x; drop")
+
+
+def test_pseudonyms_of_addresses(spark):
+    key = b"k" * 32
+    of = lambda *v: [r[0] for r in spark.createDataFrame([(x,) for x in v], "v string").select(tx.address_pseudonym(F.col("v"), key)).collect()]
+    a, b, c, d, none = of("2001:DB8:0:0::1", "2001:db8::1", "100.64.0.1", " ::ffff:100.64.0.1", None)
+    assert a == b and c == d and a != c and none is None
+    for bad in ("300.1.1.1", "host.example", "1.2.3"):
+        with pytest.raises(Exception, match="isn't an address"):
+            of(bad)
+
+
+def test_settings_refuse_development_secrets():
+    from tidewatch.settings import SCHEDULE, Settings, UnsafeSettings
+
+    assert Settings.load({}).environment == "local" and Settings.load({"TIDEWATCH_PSEUDONYM_KEY": "dev-only-secret-xxxxxxxxxxxxxxxxxxx"}).shown()["pseudonym_key"] == "set"
+    with pytest.raises(UnsafeSettings):
+        Settings.load({"TIDEWATCH_ENVIRONMENT": "production", "TIDEWATCH_PSEUDONYM_KEY": "dev-only-secret-xxxxxxxxxxxxxxxxxxx"})
+    assert Settings.load({"TIDEWATCH_HONEYPOT": "yes"}).honeypot and not SCHEDULE["enabled"]
+
+
 def test_lambda_view_on_a_stream(spark, tmp_path):
     from tidewatch.streaming.lambda_view import LambdaView
 

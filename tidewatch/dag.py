@@ -13,13 +13,19 @@ from tidewatch.quality import ERROR, Check
 
 @dataclass(frozen=True)
 class Model:
-    """``fn`` gets the models it names in ``deps``, by name; ``checks`` gets the result."""
+    """``fn`` gets the models it names in ``deps``; ``checks`` gets the result and then those.
+
+    A model whose ``fn`` gives None has nothing to write this time and keeps what it had. ``saves_itself``: it has been saved when ``fn`` returns.
+    ``after_failure``: it is built from those of its ``deps`` that were built, unless none was.
+    """
 
     name: str
     fn: Callable[..., DataFrame]
     deps: tuple[str, ...] = ()
-    checks: Callable[[DataFrame], list[Check]] | None = None
+    checks: Callable[..., list[Check]] | None = None
     retries: int = 0
+    saves_itself: bool = False
+    after_failure: bool = False
 
 
 @dataclass
@@ -71,24 +77,30 @@ class Graph:
                 grow |= {d for n in grow for d in self.models[n].deps}
         return grow
 
-    def run(self, pattern: str | None = None, save: Callable[[str, DataFrame], DataFrame] | None = None, load: Callable[[str], DataFrame] | None = None, pause: float = 30.0) -> dict[str, Outcome]:
+    def run(self, patterns: str | Iterable[str] | None = None, save: Callable[[str, DataFrame], DataFrame] | None = None, load: Callable[[str], DataFrame | None] | None = None, pause: float = 30.0) -> dict[str, Outcome]:
         """Build the selected models; ``save`` materialises one, ``load`` gives one that isn't built now.
 
         A failed check of severity error, or an exception, skips all that depends on the model.
         """
-        wanted, built, report = self.select(pattern), {}, {}
+        wanted = self.select() if patterns is None else set().union(*map(self.select, [patterns] if isinstance(patterns, str) else patterns))
+        built, report = {}, {}
         for name in self.order():
             if name not in wanted:
                 continue
             m, began = self.models[name], time.time()
-            if any(report[d].status in ("failed", "skipped") for d in m.deps if d in report):
+            lost = [d for d in m.deps if d in report and report[d].status in ("failed", "skipped")]
+            if lost and not (m.after_failure and len(lost) < len(m.deps)):
                 report[name] = Outcome("skipped")
                 continue
             for attempt in range(m.retries + 1):
                 try:
-                    df = m.fn(*(built[d] if d in built else load(d) if load else self.models[d].fn() for d in m.deps))
-                    built[name] = save(name, df) if save else df
-                    checks = {c.name: (c.failing(), c.severity) for c in (m.checks(built[name]) if m.checks else [])}
+                    inputs = [self._input(d, built, load) for d in m.deps if d not in lost]
+                    df = m.fn(*inputs)
+                    if df is None:
+                        report[name] = Outcome("unchanged", time.time() - began)
+                        break
+                    built[name] = save(name, df) if save and not m.saves_itself else df
+                    checks = {c.name: (c.failing(), c.severity) for c in (m.checks(built[name], *inputs) if m.checks else [])}
                     bad = any(n and s == ERROR for n, s in checks.values())
                     report[name] = Outcome("failed" if bad else "built", time.time() - began, {k: n for k, (n, _) in checks.items()})
                     break
@@ -98,5 +110,18 @@ class Graph:
                         time.sleep(pause * 2**attempt)
         return report
 
+    def _input(self, name: str, built: dict[str, DataFrame], load) -> DataFrame:
+        if name in built:
+            return built[name]
+        df = load(name) if load else self.models[name].fn()
+        if df is None:
+            raise LookupError(f"{name} was never built")
+        return df
+
+    def check(self, name: str, load: Callable[[str], DataFrame | None]) -> dict[str, int]:
+        """The failing rows of each check of a model as it stands."""
+        m = self.models[name]
+        return {c.name: c.failing() for c in m.checks(*(self._input(n, {}, load) for n in (name, *m.deps)))} if m.checks else {}
+
     def lineage(self) -> list[tuple[str, str]]:
         return [(d, n) for n, m in self.models.items() for d in m.deps]

@@ -6,6 +6,7 @@ import hashlib
 import re
 from collections.abc import Mapping
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -39,6 +40,35 @@ def pseudonym(value: Column, key: bytes) -> Column:
     return F.concat(F.lit("anon-"), F.substring(hmac_sha256(value, key), 1, 16))
 
 
+def plain_address(value: Column) -> Column:
+    """An address in the one form that all its spellings share (IPv6 shortened, IPv4 in IPv6 as IPv4); what is no address is an error, null stays null."""
+    text = F.trim(value)
+    v4 = text.rlike(r"^((25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(\.(?!$)|$)){4}$")
+    other = _unify(F.when(text.isNotNull() & ~v4, text))
+    return F.when(text.isNull() | v4, text).when(other.isNotNull(), other).otherwise(F.raise_error(F.lit("a value to be pseudonymised isn't an address")).cast("string"))
+
+
+def _unify(texts: Column) -> Column:
+    import ipaddress
+
+    def one(t):
+        try:
+            a = ipaddress.ip_address(t) if t is not None else None
+        except ValueError:
+            return None
+        return None if a is None else str(getattr(a, "ipv4_mapped", None) or a)
+
+    def unify(values: pd.Series) -> pd.Series:
+        return values.map(one)
+
+    return F.pandas_udf(unify, "string")(texts)
+
+
+def address_pseudonym(value: Column, key: bytes) -> Column:
+    """A pseudonym that is the same for every spelling of an address."""
+    return pseudonym(plain_address(value), key)
+
+
 class KeyTooShort(ValueError):
     """The pseudonymisation key is too short to be safe."""
 
@@ -69,7 +99,7 @@ def is_documentation_address(c: Column) -> Column:
     return c.startswith("192.0.2.") | c.startswith("198.51.100.") | c.startswith("203.0.113.")
 
 
-_SAFE_NAME = re.compile(r"(staging|silver|gold)\.[a-z][a-z0-9_]*")
+_SAFE_NAME = re.compile(r"(staging|silver|gold|ml)\.[a-z][a-z0-9_]*")
 
 
 def guarded_name(name: str) -> str:

@@ -56,8 +56,8 @@ class TextModel:
         return self
 
     def score(self, df: DataFrame) -> DataFrame:
-        """With ``probability`` of the positive class."""
-        return self.model.transform(self._features(df)).withColumn("probability", vector_to_array("probability")[1]).drop("_x", "rawPrediction", "prediction")
+        """With ``probability`` of the positive class; written once."""
+        return settle(self.model.transform(self._features(df)).withColumn("probability", vector_to_array("probability")[1]).drop("_x", "rawPrediction", "prediction"), "probabilities")
 
 
 def evaluate_temporal(df: DataFrame, text: str, label: str, day: str, cutoff: str) -> tuple[DataFrame, TextModel]:

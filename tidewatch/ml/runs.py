@@ -1,4 +1,4 @@
-"""Runs of experiments: parameters, metrics, status; append-only."""
+"""Runs of experiments: parameters, metrics, tags, small artifacts, status; append-only."""
 
 from __future__ import annotations
 
@@ -14,13 +14,22 @@ from pyspark.sql import types as T
 
 from tidewatch.lake.table import Table
 
-SCHEMA = T.StructType([T.StructField("run_id", T.StringType()), T.StructField("experiment", T.StringType()), T.StructField("status", T.StringType()), T.StructField("ended_at", T.TimestampType()), T.StructField("params", T.MapType(T.StringType(), T.StringType())), T.StructField("metrics", T.MapType(T.StringType(), T.DoubleType())), T.StructField("error", T.StringType())])
+SCHEMA = T.StructType([T.StructField("run_id", T.StringType()), T.StructField("experiment", T.StringType()), T.StructField("status", T.StringType()), T.StructField("ended_at", T.TimestampType()), T.StructField("params", T.MapType(T.StringType(), T.StringType())), T.StructField("metrics", T.MapType(T.StringType(), T.DoubleType())), T.StructField("error", T.StringType()), T.StructField("tags", T.MapType(T.StringType(), T.StringType())), T.StructField("artifacts", T.MapType(T.StringType(), T.StringType()))])
 
 
 class Run:
     def __init__(self) -> None:
         self.params: dict[str, str] = {}
         self.metrics: dict[str, float] = {}
+        self.tags: dict[str, str] = {}
+        self.artifacts: dict[str, str] = {}
+
+    def tag(self, **values) -> None:
+        self.tags |= {k: str(v) for k, v in values.items()}
+
+    def artifact(self, name: str, text: str) -> None:
+        """A small text that belongs to the run, such as a report or a list of terms."""
+        self.artifacts[name] = text
 
     def param(self, **values) -> None:
         self.params |= {k: str(v) for k, v in values.items()}
@@ -44,7 +53,7 @@ class Runs:
             status, error = "FAILED", str(e)[:2000]
             raise
         finally:
-            row = (uuid.uuid4().hex, experiment, status, datetime.now(timezone.utc), r.params, r.metrics, error)
+            row = (uuid.uuid4().hex, experiment, status, datetime.now(timezone.utc), r.params, r.metrics, error, r.tags, r.artifacts)
             self.table.append(self.spark.createDataFrame([row], SCHEMA))
 
     def newest(self) -> DataFrame:

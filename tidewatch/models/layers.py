@@ -21,7 +21,9 @@ def _parsed(bronze: DataFrame, source: str, leaves: str) -> DataFrame:
 
 
 def _int(c: Column) -> Column:
-    return F.when(c.rlike(r"^\s*[+-]?[0-9]+\s*$"), c.try_cast("int"))
+    """A text as a whole number, decimals rounded half away from zero; null for what isn't a number or doesn't fit."""
+    number = F.when(c.rlike(r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]{1,3})?\s*$"), F.round(F.trim(c).try_cast("double")))
+    return F.when(number.between(-(2**31), 2**31 - 1), number.cast("int"))
 
 
 def _date(c: Column) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewatch import export
 from tidewatch.functions.text import redact_ipv4
 from tidewatch.models import layers as m
 from tidewatch.sources.tables import table
@@ -75,25 +76,29 @@ def explore_c2_tor(spark, d):
     return c2.join(tor, "ip", "left").select("malware", "ip", F.col("t").isNotNull().alias("is_tor_exit"))
 
 
+def _model(spark, d):
+    """The models that the export reads; those of the ML layer were never built here."""
+    silver = {"silver.kev_vulnerabilities": "kev", "silver.urlhaus_urls": "urls", "silver.feodo_c2_servers": "c2", "silver.tor_exit_nodes": "tor", "silver.honeypot_sessions": "honeypot_sessions"}
+    gold = {"gold.vendor_exploitation": "vendors", "gold.malware_url_tags": "tags", "gold.c2_infrastructure": "c2"}
+    return lambda name: _silver(spark, d, silver[name]) if name in silver else _gold(spark, d, gold[name]) if name in gold else None
+
+
 def export_counts(spark, d):
-    kev = _silver(spark, d, "kev").agg(F.count(F.lit(1)).alias("exploited_cves"), F.count_if("is_ransomware_linked").alias("ransomware_linked_cves"), F.countDistinct("vendor").alias("vendors"))
-    urls = _silver(spark, d, "urls").agg(F.count(F.lit(1)).alias("malware_urls"), F.count_if("is_online").alias("online_malware_urls"), F.countDistinct("host").alias("malware_hosts"))
-    c2 = _silver(spark, d, "c2").agg(F.count(F.lit(1)).alias("c2_servers"))
-    tor = _silver(spark, d, "tor").agg(F.count_if("is_current_exit").alias("tor_exit_nodes"))
-    hp = _silver(spark, d, "honeypot_sessions").agg(F.count(F.lit(1)).alias("honeypot_sessions"))
-    return kev.crossJoin(urls).crossJoin(c2).crossJoin(tor).crossJoin(hp)  # one row each
+    """All eleven counters; null for models that were never built."""
+    counts = export.summary(_model(spark, d))
+    return spark.createDataFrame([tuple(counts.values())], ", ".join(f"{c} long" for c in counts))
 
 
 def export_vendors(spark, d):
-    return flat(_gold(spark, d, "vendors").select("vendor", "exploited_cves", "ransomware_linked_cves", "ransomware_share_pct", "products_affected", "most_recently_added").orderBy(F.desc("exploited_cves"), F.asc_nulls_last("vendor")).limit(25))
+    return flat(export.report(_model(spark, d), "vendors"))
 
 
 def export_tags(spark, d):
-    return _gold(spark, d, "tags").orderBy(F.desc("urls"), "tag").limit(25)
+    return export.report(_model(spark, d), "malware_tags")
 
 
 def export_c2(spark, d):
-    return flat(_gold(spark, d, "c2").select("ip_address", "malware", "is_online", "port", "as_name", "country", "hosting_type", "was_ever_tor_exit", "is_current_tor_exit", "first_seen", "last_online"))
+    return flat(export.report(_model(spark, d), "c2"))
 
 
 def export_overview(spark, d):
@@ -188,9 +193,9 @@ SQL = {
     "explore_tags": _cte("SELECT tag, count(*) AS malicious_urls FROM (SELECT unnest(tags) AS tag FROM url0 WHERE len(tags) > 0) GROUP BY tag ORDER BY 2 DESC, 1 LIMIT 12"),
     "explore_c2_tor": _cte("SELECT c.malware, c.ip, t.ip IS NOT NULL AS is_tor_exit FROM (SELECT DISTINCT ip_address AS ip, malware FROM feo0) c LEFT JOIN (SELECT DISTINCT ip_address AS ip FROM tor0) t ON t.ip = c.ip"),
     "export_counts": _cte("""SELECT (SELECT count(*) FROM kev) AS exploited_cves, (SELECT count(*) FILTER (is_ransomware_linked) FROM kev) AS ransomware_linked_cves, (SELECT count(DISTINCT vendor) FROM kev) AS vendors, (SELECT count(*) FROM url) AS malware_urls, (SELECT count(*) FILTER (is_online) FROM url) AS online_malware_urls,
-(SELECT count(DISTINCT host) FROM url) AS malware_hosts, (SELECT count(*) FROM feo) AS c2_servers, (SELECT count(*) FILTER (is_current_exit) FROM tor) AS tor_exit_nodes, (SELECT count(*) FROM ses) AS honeypot_sessions"""),
+(SELECT count(DISTINCT host) FROM url) AS malware_hosts, (SELECT count(*) FROM feo) AS c2_servers, (SELECT count(*) FILTER (is_current_exit) FROM tor) AS tor_exit_nodes, NULL::BIGINT AS url_campaigns, NULL::BIGINT AS clustered_servers, (SELECT count(*) FROM ses) AS honeypot_sessions"""),
     "export_vendors": _cte("SELECT vendor, exploited_cves, ransomware_linked_cves, ransomware_share_pct, products_affected, most_recently_added FROM ven ORDER BY exploited_cves DESC, vendor NULLS LAST LIMIT 25"),
-    "export_tags": _cte("SELECT * FROM tag ORDER BY urls DESC, tag LIMIT 25"),
+    "export_tags": _cte("SELECT tag, urls, online_urls, distinct_hosts, urls_per_host FROM tag ORDER BY urls DESC, tag LIMIT 25"),
     "export_c2": _cte("SELECT ip_address, malware, is_online, port, as_name, country, hosting_type, was_ever_tor_exit, is_current_tor_exit, first_seen, last_online FROM c2"),
     "export_overview": _cte("SELECT count(*) AS sessions, epoch_us(min(started_at)) AS first_session, epoch_us(max(started_at)) AS last_session, count(*) FILTER (login_succeeded) AS logged_in, count(*) FILTER (commands_run > 0) AS ran_commands, count(*) FILTER (downloads > 0) AS downloaded, count(DISTINCT src_ip) AS distinct_sources FROM ses"),
     "export_daily": _cte("SELECT started_at::DATE::VARCHAR AS day, count(*) AS sessions FROM ses GROUP BY 1 ORDER BY 1 DESC LIMIT 30"),

@@ -5,64 +5,67 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.functions.urls import ipv4_24, url_host, url_last_segment, url_port
-from tidewatch.ml import dbscan, logit, sessions
+from tidewatch import export
+from tidewatch.ml import dbscan, marts, search
 from tidewatch.models import layers
 from tidewatch.sources.tables import table
 from tidewatch.storage import settle
 
 
-def _profiles(spark: SparkSession, d: str) -> DataFrame:
-    u = F.col("url")
-    blank = F.array().cast("array<string>")
-    per = table(spark, d, "urlhaus_urls").where(u.isNotNull()).groupBy(url_host(u).alias("host")).agg(
-        F.collect_set(url_last_segment(u)).alias("paths"), F.array_distinct(F.flatten(F.collect_list(F.coalesce("tags", blank)))).alias("tags"), F.collect_set(url_port(u)).alias("ports"),
-        F.count("*").alias("urls"), F.count_if(F.col("url_status") == "online").alias("online_urls"),
-    )
-    named = lambda c, p: F.transform(c, lambda x: F.concat(F.lit(p), F.regexp_replace(x.cast("string"), " ", "_")))
-    return per.where("host is not null").withColumns({"tokens": F.array_sort(F.concat(named("paths", "path="), named("tags", "tag="), named("ports", "port="))), "net": ipv4_24(F.col("host"))})
+def _labelled(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    p = settle(marts.host_profiles(table(spark, d, "urlhaus_urls")), "host-profiles")
+    return p, dbscan.dbscan(p.select("host", "tokens"))
 
 
 def dbscan_hosts(spark: SparkSession, d: str) -> DataFrame:
-    return dbscan.dbscan(_profiles(spark, d).select("host", "tokens"))
+    return _labelled(spark, d)[1]
 
 
 def campaign_summaries(spark: SparkSession, d: str) -> DataFrame:
-    p = settle(_profiles(spark, d), "host-profiles")
-    s = dbscan.summaries(p, dbscan.dbscan(p.select("host", "tokens")))
-    return s.withColumns({"top_tags": F.array_join("top_tags", ","), "top_paths": F.array_join("top_paths", ",")})
+    return dbscan.summaries(*_labelled(spark, d)).withColumns({"top_tags": F.array_join("top_tags", ","), "top_paths": F.array_join("top_paths", ",")})
 
 
 def campaign_coherence(spark: SparkSession, d: str) -> DataFrame:
-    p = settle(_profiles(spark, d), "host-profiles")
-    return dbscan.coherence(dbscan.dbscan(p.select("host", "tokens")).join(p.select("host", "net"), "host"), "host", "net")
+    """Coherence and coverage of the campaigns, one row."""
+    p, labels = _labelled(spark, d)
+    labels = settle(labels, "labels")
+    return dbscan.coherence(labels.join(p.select("host", "net"), "host"), "host", "net").crossJoin(marts.coverage(labels))
 
 
 def _kev(spark: SparkSession, d: str) -> DataFrame:
-    k = layers.kev_vulnerabilities(layers.stg_cisa_kev(table(spark, d, "bronze_events")))
-    text = F.concat_ws(" ", *(F.nullif(c, F.lit("")) for c in ("vendor", "product", "vulnerability_name", "description")), F.array_join("cwes", " "))
-    return k.where("date_added is not null").select("cve_id", "date_added", text.alias("text"), F.coalesce("is_ransomware_linked", F.lit(False)).cast("int").alias("y"))
+    return layers.kev_vulnerabilities(layers.stg_cisa_kev(table(spark, d, "bronze_events")))
 
 
 def logit_scores(spark: SparkSession, d: str) -> DataFrame:
-    """Each vulnerability of the later period with its probability of ransomware use, by a model of the earlier one; ranked where it is unlinked.
+    """Each vulnerability with its probability of ransomware use, by a model of the earlier ones; ranked where it is late and unlinked."""
+    scored, _ = marts.ransomware(_kev(spark, d))
+    return scored.select("cve_id", F.col("ransomware_probability").alias("probability"), "on_watchlist", "watchlist_rank")
 
-    The cutoff is the date that three quarters of the vulnerabilities precede.
-    """
-    k = settle(_kev(spark, d), "kev")
-    at = k.agg(F.percentile(F.datediff("date_added", F.lit("1970-01-01").cast("date")), 0.75)).first()[0]
-    cutoff = str(spark.range(1).select(F.date_add(F.lit("1970-01-01").cast("date"), int(at))).first()[0])
-    _, model = logit.evaluate_temporal(k, "text", "y", "date_added", cutoff)
-    scored = model.score(k.where(F.col("date_added") >= F.lit(cutoff).cast("date")))
-    return logit.watch_list(scored, "y", "date_added", cutoff, "cve_id").select("cve_id", F.round("probability", 4).alias("probability"), "on_watchlist", "watchlist_rank")
+
+def semantic_ask(spark: SparkSession, d: str) -> DataFrame:
+    """The ten vulnerabilities nearest to a question, through the index of their texts."""
+    kev = settle(marts.document(_kev(spark, d)).select("cve_id", "text"), "kev-texts")
+    e = search.HashedWords()
+    index, _ = search.refresh(kev, None, "cve_id", "text", e)
+    return search.ask(settle(index, "index"), kev, "cve_id", "text", e, "remote code execution in a gateway appliance").select("cve_id", "score")
 
 
 def iforest_scores(spark: SparkSession, d: str) -> DataFrame:
     s = layers.honeypot_sessions(layers.honeypot_events(layers.stg_cowrie(table(spark, d, "bronze_events"))))
-    found = sessions.anomalies(s)
+    found = marts.anomalies(s)
     if found is None:
         return spark.createDataFrame([], "session_id string, anomaly_rank long, score double, is_flagged boolean, reasons string")
     return found.select("session_id", "anomaly_rank", F.round("score", 6).alias("score"), "is_flagged", "reasons")
 
 
-QUERIES = {f.__name__: f for f in (dbscan_hosts, campaign_summaries, campaign_coherence, logit_scores, iforest_scores)}
+def export_campaigns(spark: SparkSession, d: str) -> DataFrame:
+    models = marts.campaigns(layers.urlhaus_urls(layers.stg_urlhaus(table(spark, d, "bronze_events"))))
+    return export.report(models.get, "campaigns").withColumns({"top_tags": F.array_join("top_tags", ","), "top_paths": F.array_join("top_paths", ",")})
+
+
+def export_watchlist(spark: SparkSession, d: str) -> DataFrame:
+    scored, _ = marts.ransomware(_kev(spark, d))
+    return export.report({"ml.kev_ransomware_scores": scored}.get, "watchlist")
+
+
+QUERIES = {f.__name__: f for f in (dbscan_hosts, campaign_summaries, campaign_coherence, logit_scores, semantic_ask, iforest_scores, export_campaigns, export_watchlist)}

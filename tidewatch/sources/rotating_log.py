@@ -10,7 +10,8 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Iterator
+import subprocess
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
@@ -36,19 +37,54 @@ def list_logs(folder: str, prefix: str) -> list[LogFile]:
     return sorted(found, key=lambda f: (f.name == prefix, f.name))
 
 
-_LISTED = re.compile(r"([0-9]+)\t([0-9]+)\t([A-Za-z0-9][A-Za-z0-9._-]*)")
+_LISTED = re.compile(r"([0-9]+) ([0-9]+) ([A-Za-z0-9][A-Za-z0-9._-]*)")
 
 
 def parse_listing(text: str, live: str) -> list[LogFile]:
-    """``inode<TAB>size<TAB>name`` lines from a remote reader; any other line is an error."""
-    files = []
-    for line in text.splitlines():
-        if line.strip():
-            m = _LISTED.fullmatch(line)
-            if not m:
-                raise ValueError(f"not a listing line: {line!r}")
-            files.append(LogFile(int(m[1]), int(m[2]), m[3]))
-    return sorted(files, key=lambda f: (f.name == live, f.name))
+    """``inode size name`` lines from a remote reader, oldest file first; a line of any other form is dropped, not trusted."""
+    found = (_LISTED.fullmatch(line.strip()) for line in text.splitlines())
+    return sorted((LogFile(int(m[1]), int(m[2]), m[3]) for m in found if m), key=lambda f: (f.name == live, f.name))
+
+
+class RemoteLogs:
+    """The same files on another machine, through a command that answers ``list`` and ``read <inode> <offset> <bytes>``.
+
+    ``command``: how to reach it, such as ``ssh -o BatchMode=yes sensor log-reader``. Arguments are passed as a list, never through a shell here.
+    """
+
+    def __init__(self, command: Sequence[str], live: str, timeout: float = 60):
+        self.command, self.live, self.timeout = list(command), live, timeout
+
+    def _run(self, *args: str) -> bytes:
+        done = subprocess.run([*self.command, *args], capture_output=True, timeout=self.timeout, check=False)
+        if done.returncode:
+            raise ConnectionError(f"{self.command[0]} ended with {done.returncode}: {done.stderr.decode(errors='replace')[:500]}")
+        return done.stdout
+
+    def files(self) -> list[LogFile]:
+        return parse_listing(self._run("list").decode(errors="replace"), self.live)
+
+    def fetch(self, folder: str, chunk: int = MAX_LINE) -> int:
+        """Bring local copies of all files up to date, byte by byte where they ended; how many bytes came.
+
+        A copy has the remote file's inode in its name, so that a rotated file stays the same copy; a file that shrank is fetched anew.
+        """
+        os.makedirs(folder, exist_ok=True)
+        total = 0
+        for f in self.files():
+            path = os.path.join(folder, f"{self.live}.{f.inode:020d}")
+            have = os.path.getsize(path) if os.path.exists(path) else 0
+            with open(path, "r+b" if 0 < have <= f.size else "wb") as out:
+                have = have if have <= f.size else 0
+                out.seek(have)
+                while have < f.size:
+                    data = self._run("read", str(f.inode), str(have), str(min(chunk, f.size - have)))
+                    if not data:
+                        raise ConnectionError(f"{f.name} ended at {have} of {f.size} bytes")
+                    out.write(data)
+                    have += len(data)
+                    total += len(data)
+        return total
 
 
 def whole_lines(path: str, start: int, stop: int, chunk: int = MAX_LINE, most: int = MAX_LINE) -> Iterator[tuple[bytes | None, int]]:
@@ -126,6 +162,8 @@ class RotatingLogReader(DataSourceStreamReader):
                 for line, at in whole_lines(os.path.join(self.folder, f.name), partition.start, partition.stop, most=self.most):
                     yield None if line is None else line.decode("utf-8", "replace"), partition.inode, at, line is None
                 return
+        # its lines were promised: to give none here would pass over them for good
+        raise FileNotFoundError(f"inode {partition.inode} below {self.folder} went away before bytes {partition.start} to {partition.stop} were read; put it back (unpacked) and run again")
 
     def commit(self, end: dict) -> None:
         pass
