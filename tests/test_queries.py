@@ -14,7 +14,7 @@ def test_same_rows_as_sql(spark, data, name):
     assert rows_of(QUERIES[name](spark, data)) == rows_of_sql(SQL[name], data)
 
 
-@pytest.mark.parametrize("name", ["ip_redact", "partition_balance", "p1_table"])
+@pytest.mark.parametrize("name", ["partition_balance", "p1_table", "semantic_ask", "export_campaigns", "export_watchlist"])
 def test_rows_without_sql(spark, data, name):
     assert QUERIES[name](spark, data).count() > 0
 

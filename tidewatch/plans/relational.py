@@ -243,10 +243,35 @@ def host_profiles(s, d):
     return table(s, d, "urlhaus_urls").groupBy(url_host(u).alias("host")).agg(F.count("*").alias("urls"), F.count_if(F.col("url_status") == "online").alias("online_urls"), F.array_join(F.array_sort(F.collect_set(url_last_segment(u))), " ").alias("paths"))
 
 
-@query()
+_OCTETS = "(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
+_IP_ONCE = f"'(^|[^0-9.])({_OCTETS}\\.){{3}}{_OCTETS}($|[^0-9.])', '\\1[ip]\\5', 'g')"
+
+
+# twice, as two addresses may share the character between them, which this engine's patterns must take along
+@query(f"SELECT doc_id, sha256(r) AS redacted_hash, len(regexp_extract_all(text, '\\[ip\\]'))::INTEGER AS before, len(regexp_extract_all(r, '\\[ip\\]'))::INTEGER AS after FROM (SELECT doc_id, text, regexp_replace(regexp_replace(text, {_IP_ONCE}, {_IP_ONCE} AS r FROM documents)")
 def ip_redact(s, d):
-    """Addresses in the documents' texts as ``[ip]``; the comparing engine's patterns can't look around."""
-    return table(s, d, "documents").select("doc_id", F.sha2(redact_ipv4(F.col("text")), 256).alias("redacted_hash"), F.size(F.regexp_extract_all("text", F.lit(r"\[ip\]"), F.lit(0))).alias("before"), F.size(F.regexp_extract_all(redact_ipv4(F.col("text")), F.lit(r"\[ip\]"), F.lit(0))).alias("after"))
+    """Addresses in the documents' texts as ``[ip]``."""
+    held = lambda c: F.size(F.regexp_extract_all(c, F.lit(r"\[ip\]"), F.lit(0)))
+    return table(s, d, "documents").select("doc_id", F.sha2(redact_ipv4(F.col("text")), 256).alias("redacted_hash"), held(F.col("text")).alias("before"), held(redact_ipv4(F.col("text"))).alias("after"))
+
+
+@query("SELECT c_custkey, c_nationkey FROM customer WHERE c_mktsegment <> 'BUILDING' AND c_acctbal <> 0")
+def not_equal_filter(s, d):
+    return table(s, d, "customer").where((F.col("c_mktsegment") != "BUILDING") & (F.col("c_acctbal") != 0)).select("c_custkey", "c_nationkey")
+
+
+@query("SELECT o_orderkey, o_orderstatus = 'F' AS is_final FROM orders ORDER BY o_orderstatus = 'F' DESC, o_totalprice DESC, o_orderkey LIMIT 30")
+def flag_first_order(s, d):
+    final = F.col("o_orderstatus") == "F"
+    return table(s, d, "orders").orderBy(final.desc(), F.desc("o_totalprice"), "o_orderkey").limit(30).select("o_orderkey", final.alias("is_final"))
+
+
+@query("WITH t AS (SELECT l_orderkey AS k, list(DISTINCT l_suppkey) AS s FROM lineitem GROUP BY 1) SELECT a.k AS order_a, b.k AS order_b, len(list_intersect(a.s, b.s))::INTEGER AS shared FROM t a JOIN t b ON b.k = a.k + 1 WHERE len(list_intersect(a.s, b.s)) > 0")
+def set_overlap(s, d):
+    """How many suppliers an order shares with the next one."""
+    t = table(s, d, "lineitem").groupBy(F.col("l_orderkey").alias("k")).agg(F.collect_set("l_suppkey").alias("s"))
+    j = t.select(F.col("k").alias("order_a"), "s").join(t.select((F.col("k") - 1).alias("order_a"), F.col("k").alias("order_b"), F.col("s").alias("s2")), "order_a")
+    return j.select("order_a", "order_b", F.size(F.array_intersect("s", "s2")).alias("shared")).where("shared > 0")
 
 
 def _pad(x: int) -> str:
