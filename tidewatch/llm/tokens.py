@@ -16,7 +16,10 @@ import base64
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,25 +64,46 @@ def word_ids(words: DataFrame, path: str) -> DataFrame:
     return words.repartition(tasks(words.sparkSession), "word").mapInPandas(ids, "word string, n long, ids array<int>")
 
 
-def _ids_of(hot):
-    """Over batches of texts' words: the ids of the hot words, and ``-k`` for the text's ``k``-th distinct other word."""
+def _met(batch: pa.RecordBatch, vocabulary: pa.Array) -> tuple[int, np.ndarray, np.ndarray, pa.Array]:
+    """Of a batch of texts' words: the number of texts, each word's text, its place in ``vocabulary`` (-1 for rare words), and the rare words."""
+    lists = batch.column(batch.schema.get_field_index("_words"))
+    doc = np.repeat(np.arange(len(lists)), pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
+    words = lists.flatten()
+    at = pc.fill_null(pc.index_in(words, value_set=vocabulary), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+    return len(lists), doc, at, words.filter(pa.array(at < 0))
 
-    def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = hot.value
-        for pdf in batches:
-            coded, others = [], []
-            for words in pdf["_words"]:
-                ids: list[int] = []
-                rare: dict[str, int] = {}
-                for w in words:
-                    found = known.get(w)
-                    if found is None:
-                        ids.append(-rare.setdefault(w, len(rare) + 1))
-                    else:
-                        ids += found
-                coded.append(ids)
-                others.append(list(rare))
-            yield pdf.drop(columns="_words").assign(_ids=coded, _rare=others)
+
+def _lists(n: int, doc: np.ndarray, values: pa.Array) -> pa.ListArray:
+    """``values``, which lie in the order of their texts (``doc``), as a list for each of ``n`` texts."""
+    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(np.bincount(doc, minlength=n)))).astype(np.int32)), values)
+
+
+def _with(batch: pa.RecordBatch, **columns: pa.Array) -> pa.RecordBatch:
+    kept = [(f.name, batch.column(i)) for i, f in enumerate(batch.schema) if f.name != "_words"] + list(columns.items())
+    return pa.RecordBatch.from_arrays([c for _, c in kept], names=[n for n, _ in kept])
+
+
+def _ids_of(hot):
+    """Over batches of texts' words: the ids of the hot words, and ``-k`` for the text's ``k``-th distinct other word; whole batches at a time."""
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, sizes, flat = hot.value
+        vocabulary, size, ids = pa.array(words, pa.string()), np.append(sizes, 1), np.append(flat, 0)
+        start = np.append(np.cumsum(sizes) - sizes, len(flat))
+        for batch in batches:
+            n, doc, at, rare = _met(batch, vocabulary)
+            length = size[at]  # a rare word (-1) is one number
+            end = np.cumsum(length)
+            total = int(end[-1]) if len(end) else 0
+            out = ids[np.repeat(start[at] - (end - length), length) + np.arange(total)].astype(np.int32)
+            named = rare.dictionary_encode()
+            of = doc[at < 0]
+            known, which = np.unique(of * max(len(named.dictionary), 1) + named.indices.to_numpy(zero_copy_only=False), return_inverse=True)
+            owner, code = known // max(len(named.dictionary), 1), known % max(len(named.dictionary), 1)
+            first = np.cumsum(np.bincount(owner, minlength=n)) - np.bincount(owner, minlength=n)
+            number = np.arange(len(known)) - first[owner] + 1 if len(known) else known
+            out[(end - length)[at < 0]] = -number[which]
+            yield _with(batch, _ids=_lists(n, np.repeat(doc, length), pa.array(out)), _rare=_lists(n, owner, named.dictionary.take(pa.array(code)).cast(pa.string())))
 
     return look
 
@@ -87,12 +111,12 @@ def _ids_of(hot):
 def _sizes_of(hot):
     """Over batches of texts' words: how many ids the hot words have, and all other words."""
 
-    def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = {w: len(ids) for w, ids in hot.value.items()}
-        for pdf in batches:
-            sizes = [[known.get(w, 0) for w in words] for words in pdf["_words"]]
-            others = [[w for w, n in zip(words, s) if not n] for words, s in zip(pdf["_words"], sizes)]
-            yield pdf.drop(columns="_words").assign(_n=[sum(s) for s in sizes], _rare=others)
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, sizes, _ = hot.value
+        vocabulary, size = pa.array(words, pa.string()), np.append(sizes, 0)
+        for batch in batches:
+            n, doc, at, rare = _met(batch, vocabulary)
+            yield _with(batch, _n=pa.array(np.bincount(doc, weights=size[at], minlength=n).astype(np.int64)), _rare=_lists(n, doc[at < 0], rare))
 
     return look
 
@@ -105,9 +129,10 @@ def _looked_up(docs: DataFrame, columns: Sequence[str], text: str, path: str, lo
     counted = split.select(F.explode("_words").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     table = settle(word_ids(counted, path), "word-ids")
     hot = table.where(F.length("word") <= HOT_LENGTH).orderBy(F.desc("n"), "word").limit(HOT_WORDS).select("word", "ids").collect()
-    known = docs.sparkSession.sparkContext.broadcast({r["word"]: list(r["ids"]) for r in hot})
+    table_of = ([r["word"] for r in hot], np.array([len(r["ids"]) for r in hot], np.int64), np.array([i for r in hot for i in r["ids"]], np.int64))
+    known = docs.sparkSession.sparkContext.broadcast(table_of)
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept.schema.fields[:-1])
-    coded = settle(split.mapInPandas(look(known), f"{kinds}, {kind}, _rare array<string>"), "coded")
+    coded = settle(split.mapInArrow(look(known), f"{kinds}, {kind}, _rare array<string>"), "coded")
     return coded, table, [F.col(k).alias(c) for k, c in zip(own, columns)]
 
 
