@@ -87,6 +87,13 @@ def test_shares_and_caps(spark):
     assert used["m", "none"] == 0
 
 
+def test_a_plan_too_large_to_broadcast(spark):
+    s = sized(spark, 500)
+    plan = spark.createDataFrame([(f"m{i}", x) for i in range(3) for x in "ab"], "mix_name string, source string")
+    rows = lambda df: sorted((r["mix_name"], r["source"], r["doc_id"]) for r in df.collect())
+    assert rows(mixing.spread(s, plan, most=2)) == rows(mixing.spread(s, plan))
+
+
 def test_nested_and_repeatable(spark):
     s = sized(spark, 2000, 2)
     t = spark.createDataFrame([("small", "a", 1.0, 1), ("small", "b", 9.0, 1), ("large", "a", 5.0, 1), ("large", "b", 5.0, 1)], "mix_name string, source string, target_weight double, max_repeats int")

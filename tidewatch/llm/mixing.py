@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.llm.tokens import sizes
-from tidewatch.storage import settle
+from tidewatch.storage import settle, tasks
 
 #: Bits of each of the three levels; 48 of the 63 bits of a place decide.
 LEVEL_BITS, LEVELS = 16, 3
@@ -31,6 +31,15 @@ def small(df: DataFrame, most: int = 10_000) -> DataFrame:
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema)) if len(rows) <= most else df
 
 
+def spread(sized: DataFrame, plan: DataFrame, most: int = 10_000) -> DataFrame:
+    """``sized`` joined with ``plan`` by source: broadcast if the plan is proved small; else in parts, so that no source's records meet in one task."""
+    if plan.limit(most + 1).count() <= most:
+        return sized.join(F.broadcast(plan), "source")
+    n = tasks(sized.sparkSession)
+    parted = plan.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+    return sized.withColumn("_part", F.pmod("place", F.lit(n)).cast("int")).join(parted, ["source", "_part"]).drop("_part")
+
+
 def place(*keys: Column) -> Column:
     """48 bits that order the records of a source as if at random, the same in every run."""
     return F.shiftrightunsigned(F.xxhash64(*keys, F.lit(977)), 64 - _TOP)
@@ -93,8 +102,8 @@ def mix(sized: DataFrame, targets: DataFrame) -> DataFrame:
     ``sized``: ``(source, tokens, place, ...)``. Rows with a null source or of
     a source that no mix names are not used. Rows of one place stand or fall together.
     """
-    plan = small(thresholds(sized, small(budgets(sized, targets))).select("mix_name", "source", "full", "below"))
-    used = sized.join(plan, "source").withColumn("times", F.col("full") + F.when(F.col("place") < F.col("below"), 1).otherwise(0)).where("times > 0")
+    plan = thresholds(sized, small(budgets(sized, targets))).select("mix_name", "source", "full", "below")
+    used = spread(sized, plan).withColumn("times", F.col("full") + F.when(F.col("place") < F.col("below"), 1).otherwise(0)).where("times > 0")
     return used.drop("full", "below", "place")
 
 
