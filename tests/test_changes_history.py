@@ -73,7 +73,7 @@ def test_coalescing_above_the_local_rounds(spark):
     assert [tuple(r)[1:3] for r in history.coalesce_runs(df, ["e"], "seq", "p", n).orderBy("start").collect()] == [(0, 1500), (1501, n)]
 
 
-def test_known_lists_and_half_open_intervals(spark):
+def test_known_lists_and_half_open_intervals(spark, monkeypatch):
     us = lambda t: int(t.timestamp() * 1e6)
     rows = [("a", 1, T0, T0), ("b", 2, T0 + timedelta(1), T0 + timedelta(5)), ("c", 3, T0 + timedelta(2), T0 + timedelta(3)), ("d", 4, T0 + timedelta(4), T0 + timedelta(6))]
     runs = spark.createDataFrame(rows, "collector_run_id string, snapshot_no int, collected_at timestamp, ingested_at timestamp")
@@ -84,6 +84,9 @@ def test_known_lists_and_half_open_intervals(spark):
     events = spark.createDataFrame([(i, "x", us(t)) for i, t in enumerate(at)] + [(9, None, us(T0)), (10, "x", None)], "id int, k string, t long")
     assert {r["id"] for r in asof.valid_at(events, spans, "k", "t").collect()} == {1, 2, 4, 5}
     assert asof.valid_at(events.limit(0), spans, "k", "t").count() == 0
+    monkeypatch.setattr(asof, "HOT_ROWS", 1)  # every bucket of more than one event is split
+    many = events.unionByName(events)
+    assert sorted(r["id"] for r in asof.valid_at(many, spans, "k", "t").collect()) == [1, 1, 2, 2, 4, 4, 5, 5]
 
 
 def test_exactly_once(spark):

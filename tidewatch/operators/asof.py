@@ -3,8 +3,8 @@
 Validity intervals come from successive change times. Each interval is
 exploded into time buckets, and events are equi-joined by entity and bucket,
 then held against the half-open interval. No inequality join is planned, and a
-hot entity's events are spread over its buckets (and split further by adaptive
-execution).
+hot entity's events are spread over its buckets; a bucket with very many
+events is split further, and its few intervals are sent to every part.
 """
 
 from __future__ import annotations
@@ -12,8 +12,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewatch.storage import fresh, settle
+
 #: Width of a time bucket in microseconds: one day.
 BUCKET_US = 86_400_000_000
+#: Events of one entity and bucket that stay together.
+HOT_ROWS = 200_000
 
 
 def known_lists(runs: DataFrame) -> DataFrame:
@@ -49,5 +53,13 @@ def valid_at(events: DataFrame, intervals: DataFrame, entity: str, at: str, buck
         .withColumn("_bucket", F.explode(F.sequence(F.floor(F.col("valid_from") / F.lit(bucket_us)), F.floor((upper - 1) / F.lit(bucket_us)))))
         .drop("_end")
     )
+    part, parts = fresh([*events.columns, *intervals.columns], "_tw_part"), fresh([*events.columns, *intervals.columns], "_tw_parts")
     keyed = events.where(F.col(entity).isNotNull() & F.col(at).isNotNull()).withColumn("_bucket", F.floor(F.col(at) / F.lit(bucket_us)))
-    return keyed.join(cut, [entity, "_bucket"]).where((F.col("valid_from") <= F.col(at)) & (F.col("valid_to").isNull() | (F.col(at) < F.col("valid_to")))).drop("_bucket")
+    hot = settle(keyed.groupBy(entity, "_bucket").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > HOT_ROWS).select(entity, "_bucket", F.ceil(F.col("_n") / HOT_ROWS).cast("int").alias(parts)), "hot")
+    if hot.isEmpty():
+        keyed, cut = keyed.withColumn(part, F.lit(0)), cut.withColumn(part, F.lit(0))
+    else:  # a row for at least HOT_ROWS events
+        one = F.coalesce(F.col(parts), F.lit(1))
+        keyed = keyed.join(hot, [entity, "_bucket"], "left").withColumn(part, F.pmod(F.xxhash64(*events.columns), one).cast("int")).drop(parts)
+        cut = cut.join(hot, [entity, "_bucket"], "left").withColumn(part, F.explode(F.sequence(F.lit(0), one - 1))).drop(parts)
+    return keyed.join(cut, [entity, "_bucket", part]).where((F.col("valid_from") <= F.col(at)) & (F.col("valid_to").isNull() | (F.col(at) < F.col("valid_to")))).drop("_bucket", part)
