@@ -75,7 +75,14 @@ def settled_as(df: DataFrame, schema: StructType, name: str = "step") -> DataFra
         atexit.register(clear_settled)
     _written.setdefault(spark.sparkContext.applicationId, []).append((spark, path))
     df.write.parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    back = spark.read.schema(schema).parquet(path)
+    back._settled_at = path
+    return back
+
+
+def discard(settled: DataFrame) -> None:
+    """Delete a table that ``settle`` gave back, once all that reads it has been written itself."""
+    Files(settled.sparkSession).remove(settled._settled_at)
 
 
 def clear_settled(spark: SparkSession | None = None) -> int:
