@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.storage import settle, tasks
+from tidewatch.storage import discard, settle, tasks
 
 #: Where the public vocabularies lie.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -133,6 +133,7 @@ def _looked_up(docs: DataFrame, columns: Sequence[str], text: str, path: str, lo
     known = docs.sparkSession.sparkContext.broadcast(table_of)
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept.schema.fields[:-1])
     coded = settle(split.mapInArrow(look(known), f"{kinds}, {kind}, _rare array<string>"), "coded")
+    discard(split)
     return coded, table, [F.col(k).alias(c) for k, c in zip(own, columns)]
 
 
