@@ -287,6 +287,35 @@ def test_producing_again_adds_nothing(spark, tmp_path, monkeypatch):
     assert letters.read().count() == 2 and rows.sparkSession.read.parquet(str(tmp_path / "log" / topic / "data")).count() == 12
 
 
+def test_raw_messages_are_read_by_the_consumer(spark, tmp_path):
+    """Texts that can't be read, deletions and invalid envelopes become dead letters; newer writers' fields are passed over."""
+    log, topic = TopicLog(spark, str(tmp_path / "log")), topic_name("urlhaus")
+    log.create(TopicSpec(topic))
+    ok = {"event_id": "e", "source": "urlhaus", "event_type": "ioc.url", "schema_version": 2, "occurred_at": "2026-09-01T10:00:00Z", "ingested_at": "2026-09-01T10:00:00Z", "payload": "{}", "content_hash": "c", "field_of_tomorrow": 1}
+    texts = [json.dumps(ok), "{broken", None, json.dumps(ok | {"source": "nobody"}), json.dumps({k: v for k, v in ok.items() if k != "content_hash"})]
+    log.produce(topic, topics.raw_messages(spark.createDataFrame([(f"k{i}", t) for i, t in enumerate(texts)], "key string, value string")))
+    assert bronze.sync(spark, log, topic, str(tmp_path / "b"), str(tmp_path / "dlq"), str(tmp_path / "cp")) == {"written": 1, "dead_lettered": 4}
+    [r] = Table(spark, str(tmp_path / "b"), BRONZE).read().collect()
+    assert (r["event_id"], r["schema_version"], r["collector_host"]) == ("e", 2, None)
+    assert {r["error_class"]: r["n"] for r in bronze.letters(spark, str(tmp_path / "dlq"), topic).collect()} == {"DecodeError": 1, "Tombstone": 1, "InvalidEnvelope": 2}
+
+
+def test_rows_in_a_stated_order(spark, tmp_path):
+    t = Table(spark, str(tmp_path / "t"), BRONZE, order=["event_id"])
+    t.append(bronze_rows(spark, 20).coalesce(1).orderBy(F.desc("event_id")))
+    ids = [r["event_id"] for r in t.read().collect()]
+    assert ids == sorted(ids)
+
+
+def test_lines_of_all_shapes_in_one_table(spark, tmp_path):
+    for day, rows in (("2026-09-01", [{"a": 1}]), ("2026-09-02", [{"b": "x"}, {"a": 2, "c": [1]}])):
+        d = tmp_path / "source=urlhaus" / f"date={day}"
+        d.mkdir(parents=True)
+        (d / "x.json").write_text("".join(json.dumps(r) + "\n" for r in rows))
+    got = feeds.jsonl(spark, str(tmp_path))
+    assert {"a", "b", "c", "source", "date"} == set(got.columns) and got.count() == 3 and got.where("a is null").count() == 1
+
+
 def test_retention_lag_and_unknown_sources(spark, tmp_path):
     with pytest.raises(KeyError):
         topics.spec_of("nobody")

@@ -10,6 +10,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewatch.lake.table import Table
@@ -18,20 +19,40 @@ from tidewatch.sources.envelope import invalid_reason
 from tidewatch.streaming.topics import TopicLog, spec_of
 
 _WIRE = "event_id string, source string, event_type string, schema_version int, occurred_at timestamp, ingested_at timestamp, payload string, content_hash string, collector_run_id string, collector_host string"
-WIRE_SCHEMA = f"{_WIRE}, _key string, _offset long, _appended_at timestamp, _partition int"
+WIRE_SCHEMA = f"{_WIRE}, _raw string, _key string, _offset long, _appended_at timestamp, _partition int"
 #: Most characters of an error's message and of a raw row that a dead letter keeps.
 MESSAGE, RAW = 2000, 100_000
 
 
+def decoded(rows: DataFrame) -> DataFrame:
+    """Rows of a topic with the envelope of those that came as raw text (``_raw``) read from it, and ``_broken`` with what is wrong with a text that can't be.
+
+    The reader's schema decides: fields it doesn't know are passed over, fields that the writer didn't have are null. An empty
+    text stands for a deletion, which this log doesn't know.
+    """
+    fields = [f for f in ENVELOPE.names]
+    read = F.from_json("_raw", T.StructType([*(T.StructField(f.name, f.dataType) for f in ENVELOPE), T.StructField("_bad", T.StringType())]), {"columnNameOfCorruptRecord": "_bad"})
+    r = rows.withColumn("_r", F.when(F.col("_raw").isNotNull(), read))
+    broken = F.when(F.trim("_raw") == "", "Tombstone").when(F.col("_raw").isNotNull() & (F.col("_r").isNull() | F.col("_r._bad").isNotNull()), "DecodeError")
+    return r.withColumns({f: F.coalesce(F.col(f"_r.{f}"), F.col(f)) for f in fields}).withColumn("_broken", broken).drop("_r")
+
+
 def split_batch(rows: DataFrame, topic: str) -> tuple[DataFrame, DataFrame]:
-    """Rows for Bronze, and dead letters for those that aren't valid envelopes."""
-    marked = rows.withColumn("_why", invalid_reason(rows))
+    """Rows for Bronze, and dead letters for texts that can't be read and for what isn't a valid envelope."""
+    read = decoded(rows)
+    marked = read.withColumn("_why", F.coalesce(F.when(F.col("_broken") == "Tombstone", "an empty message").when(F.col("_broken").isNotNull(), "not an envelope in JSON"), invalid_reason(read)))
     good = marked.where("_why is null").select(*ENVELOPE.names, F.lit(topic).alias("_kafka_topic"), F.col("_partition").alias("_kafka_partition"), F.col("_offset").alias("_kafka_offset"), F.current_timestamp().alias("_bronze_written_at"))
-    raw = F.substring(F.to_json(F.struct(*ENVELOPE.names)), 1, RAW)
-    bad = marked.where("_why is not null").select(F.current_timestamp().alias("failed_at"), "source", F.lit(topic).alias("topic"), F.col("_partition").alias("partition"), F.col("_offset").alias("offset"), F.lit("InvalidEnvelope").alias("error_class"), F.substring("_why", 1, MESSAGE).alias("error_message"), raw.alias("raw"), F.lit("bronze").alias("stage"))
+    raw = F.substring(F.coalesce("_raw", F.to_json(F.struct(*ENVELOPE.names))), 1, RAW)
+    bad = marked.where("_why is not null").select(F.current_timestamp().alias("failed_at"), "source", F.lit(topic).alias("topic"), F.col("_partition").alias("partition"), F.col("_offset").alias("offset"), F.coalesce("_broken", F.lit("InvalidEnvelope")).alias("error_class"), F.substring("_why", 1, MESSAGE).alias("error_message"), raw.alias("raw"), F.lit("bronze").alias("stage"))
     return good, bad
 
 
+def letters(spark: SparkSession, folder: str, topic: str | None = None) -> DataFrame:
+    """Dead letters by topic, stage and kind of error: how many, when last, and one of the texts."""
+    rows = Table(spark, folder, DEAD_LETTER, "failed_at").read()
+    return (rows if topic is None else rows.where(F.col("topic") == topic)).groupBy("topic", "stage", "error_class").agg(F.count(F.lit(1)).alias("n"), F.max("failed_at").alias("last_at"), F.max_by("raw", "failed_at").alias("sample"))
+
+
 def sync(spark: SparkSession, log: TopicLog, topic: str, bronze: str, letters: str, checkpoint: str, files_per_batch: int = 100) -> dict[str, int]:
     """Read what is new in a topic into Bronze and stop; ``{"written": n, "dead_lettered": n}``.
 

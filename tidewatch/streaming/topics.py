@@ -54,6 +54,12 @@ def undelivered(marked: DataFrame, topic: str) -> DataFrame:
     return marked.select(F.current_timestamp().alias("failed_at"), "source", F.lit(topic).alias("topic"), F.lit(None).cast("int").alias("partition"), F.lit(None).cast("long").alias("offset"), F.lit("InvalidEnvelope").alias("error_class"), F.substring("_why", 1, 2000).alias("error_message"), F.substring(F.to_json(F.struct(*ENVELOPE.names)), 1, 100_000).alias("raw"), F.lit("produce").alias("stage"))
 
 
+def raw_messages(messages: DataFrame) -> DataFrame:
+    """``(key, value)`` messages of other writers for ``TopicLog.produce``: the value, an envelope in JSON, is read by the consumer. A null value, a deletion, comes as an empty text."""
+    nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in ENVELOPE]
+    return messages.select(*nothing, F.coalesce("value", F.lit("")).alias("_raw"), F.col("key").alias("_key"))
+
+
 def topic_name(source: str, version: int = 1) -> str:
     return f"raw.{source}.v{version}"
 
@@ -151,7 +157,7 @@ class TopicLog:
         if batch and batch in (done := self._ends(name)[1])["batches"]:
             self._move_in(name, done["batches"][batch])
             return done["batches"][batch]["report"]
-        order = ("_partition", "ingested_at", "event_id")
+        order = ("_partition", "ingested_at", "event_id", *(["_raw"] if "_raw" in events.columns else []))
         marked = events.withColumn("_why", F.lit(None).cast("string") if dead is None else invalid_reason(events))
         n, bad = marked.agg(F.count(F.lit(1)), F.count("_why")).first()
         report = {"produced": n, "delivered": n - bad, "failed": bad, "dead_lettered": 0}
@@ -160,7 +166,7 @@ class TopicLog:
             report["dead_lettered"] = written["added"] if written else 0
         if n == bad:
             return report
-        rows = marked.where("_why is null").drop("_why").withColumn("_key", entity_key()).withColumn("_partition", partition_of(F.col("_key"), spec.partitions))
+        rows = marked.where("_why is null").drop("_why").withColumn("_key", F.col("_key") if "_key" in events.columns else entity_key()).withColumn("_partition", partition_of(F.col("_key"), spec.partitions))
         staged = f"{shared_dir(self.spark)}/produce-{uuid.uuid4().hex}"
         placed = rows.repartitionByRange(-(-(n - bad) // CHUNK), *order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
         placed.write.parquet(staged)
