@@ -97,11 +97,11 @@ def _strong(hits: DataFrame) -> DataFrame:
     against = votes.where("size(split(chain, '>')) = 2").select(F.concat_ws(">", pair[1], pair[0]).alias("chain"), F.col("votes").alias("against"))
     h = hits.join(F.broadcast(votes), "chain", "left").join(F.broadcast(against), "chain", "left").na.fill(0, ["votes", "against"])
     voted = F.col("lossless") & (F.length("tok") > 3) & (F.col("n_original") >= F.col("n")) & (F.col("votes") >= VOTES) & (F.col("votes") > 2 * F.col("against"))
-    plain = F.when(utf8, (~F.col("is_char") & (F.length("tok") > 2)) | (F.col("scripts").isin(F.col("scripts_original"), F.lit("")) & (F.col("n_original") >= F.col("n")))).otherwise(~F.col("is_char") & long_enough & (voted | (F.col("n_original") >= RATIO * F.col("n"))))
+    plain = F.when(utf8, ((~F.col("is_char") | F.col("tok").rlike(r"[^\p{L}]")) & (F.length("tok") > 2)) | (F.col("scripts").isin(F.col("scripts_original"), F.lit("")) & (F.col("n_original") >= F.col("n")))).otherwise(~F.col("is_char") & long_enough & (voted | (F.col("n_original") >= RATIO * F.col("n"))))
     # bytes of another encoding that are valid UTF-8 are a garbled text put right; what loses something counts by frequency
     repaired = F.col("chain").endswith(">utf-8")
     common = ~F.col("is_char") & long_enough & (F.col("n_original") >= RATIO * F.col("n"))
-    sure = F.when(repaired, ~odder & common & ~F.col("lossless")).when(odder, utf8 | (~F.col("is_char") & long_enough & (F.col("n_original") * F.pow(F.lit(2.0), F.col("odd") - F.col("odd_original")) >= F.col("n")))).when(level & ~boxes, plain).otherwise(F.lit(False))
+    sure = F.when(repaired, ~odder & common & ~F.col("lossless")).when(odder, utf8 | (~F.col("is_char") & long_enough & (F.col("n_original") * F.pow(F.lit(2.0), F.col("odd") - F.col("odd_original")) >= F.col("n")))).when(level & ~(boxes & F.col("is_char")), plain).otherwise(F.lit(False))
     return h.withColumn("strong", sure).drop("votes", "against")
 
 
