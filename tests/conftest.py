@@ -21,3 +21,10 @@ def data():
     if not os.path.isdir(SMALL):
         pytest.skip("no test tables here")
     return SMALL
+
+
+@pytest.fixture(scope="session")
+def larger(data):
+    """Ten times the tables: SQL is compared here."""
+    path = data.replace("sf0.001", "sf0.01")
+    return path if os.path.isdir(path) else data

@@ -89,13 +89,17 @@ def test_known_lists_and_half_open_intervals(spark, monkeypatch):
     assert sorted(r["id"] for r in asof.valid_at(many, spans, "k", "t").collect()) == [1, 1, 2, 2, 4, 4, 5, 5]
 
 
-def test_exactly_once(spark):
+def test_exactly_once(spark, monkeypatch):
     rows = [("A", 2, "x"), ("a ", 1, "y"), ("b", 1, "z"), (None, 1, "n1"), (None, 1, "n2"), ("c", 1, "same"), ("c", 1, "same")]
     df = spark.createDataFrame(rows, "id string, _tw_rank int, _tw_key string")  # names that clash with the operator's own
     key = F.lower(F.trim("id"))
     got = sorted(tuple(r) for r in dedup.exactly_once(df, key, [F.col("_tw_rank"), F.col("_tw_key")]).collect() if r[0])
     assert got == [("a ", 1, "y"), ("b", 1, "z"), ("c", 1, "same")]
     assert dedup.exactly_once(df, key, [F.col("_tw_rank")]).count() == 5  # both rows without an identifier stay
+    with monkeypatch.context() as m:
+        m.setattr(dedup, "BROADCAST_IDS", 0)  # too many repeated identifiers to broadcast
+        assert sorted(tuple(r) for r in dedup.exactly_once(df, key, [F.col("_tw_rank"), F.col("_tw_key")]).collect() if r[0]) == got
+        assert dedup.exactly_once(df, key, [F.col("_tw_rank")]).count() == 5
     new = spark.createDataFrame([("B", "more"), ("d", "more")], "id string, extra string")
     both = dedup.exactly_once(df, key, [F.asc_nulls_last("_tw_rank")], new)
     assert sorted((r["id"], r["_tw_key"]) for r in both.where("lower(id) in ('b', 'd')").collect()) == [("b", "z"), ("d", None)]

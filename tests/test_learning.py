@@ -200,3 +200,65 @@ def test_numbers_over_all_rows(spark):
     df = spark.range(1000).select((F.col("id") % 7).alias("k"), "id", F.lit(1).alias("_tw_at"))  # a column that clashes with the operator's own
     got = [(r["k"], r["id"]) for r in ranking.numbered(df, [F.desc("k"), F.col("id")], "n").orderBy("n").collect()]
     assert got == sorted(((i % 7, i) for i in range(1000)), key=lambda r: (-r[0], r[1])) and ranking.numbered(df.limit(0), [F.col("id")], "n").count() == 0
+
+
+def plain_probabilities(train, test):
+    """The classifier by plain numpy: terms of two texts and more, sublinear TF-IDF of unit length, Newton's method on the same objective."""
+    import re
+
+    def terms(t):
+        w = re.findall(r"\b\w\w+\b", t.lower())
+        return w + [f"{a} {b}" for a, b in zip(w, w[1:])]
+
+    df = {}
+    for t, _ in train:
+        for g in set(terms(t)):
+            df[g] = df.get(g, 0) + 1
+    names = sorted(g for g, n in df.items() if n >= 2)
+    at, n = {g: i for i, g in enumerate(names)}, len(train)
+    idf = np.array([np.log((1 + n) / (1 + df[g])) + 1 for g in names])
+
+    def matrix(rows):
+        x = np.zeros((len(rows), len(names)))
+        for i, (t, _) in enumerate(rows):
+            for g in terms(t):
+                if g in at:
+                    x[i, at[g]] += 1
+        x = np.where(x > 0, 1 + np.log(np.maximum(x, 1)), 0) * idf
+        return np.hstack([x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300), np.ones((len(rows), 1))])
+
+    x, y = matrix(train), np.array([v for _, v in train], float)
+    s = np.where(y == 1, n / (2 * y.sum()), n / (2 * (n - y.sum())))
+    w, ridge = np.zeros(x.shape[1]), np.append(np.full(len(names), 1 / n), 0.0)
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-x @ w))
+        grad = x.T @ (s * (p - y)) / s.sum() + ridge * w
+        hess = (x * (s * p * (1 - p))[:, None]).T @ x / s.sum() + np.diag(ridge + 1e-12)
+        w -= np.linalg.solve(hess, grad)
+    return 1 / (1 + np.exp(-matrix(test) @ w))
+
+
+def test_classifier_against_numpy(spark):
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(30)]
+    rows = [(" ".join(rng.choices(words[: 20 if i % 4 else 30], k=rng.randrange(0, 12)) + (["lock"] if i % 4 == 0 and rng.random() < 0.7 else [])), int(i % 4 == 0)) for i in range(120)]
+    df = spark.createDataFrame([(i, t, y) for i, (t, y) in enumerate(rows)], "id int, t string, y int")
+    got = {r["id"]: r["probability"] for r in logit.TextModel("t", "y").fit(df.where("id < 80")).score(df.where("id >= 80")).collect()}
+    want = plain_probabilities(rows[:80], rows[80:])
+    assert np.abs(np.array([got[i] for i in range(80, 120)]) - want).max() < 2e-3
+
+
+def test_forest_depths_against_a_loop():
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(200, 3))
+    tree = sessions.grow(x[:64], rng)
+
+    def depth(row):
+        node, d = 0, 0
+        while tree[node][0] >= 0:
+            f, cut, left, right, _ = tree[node]
+            node, d = (left if row[f] < cut else right), d + 1
+        return d + tree[node][4]
+
+    assert np.allclose(sessions.depths(tree, x), [depth(r) for r in x])
+    assert max(sessions.depths(tree, x)) <= 6 + sessions.average_path(64) and sessions.average_path(2) == 1.0

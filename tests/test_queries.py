@@ -10,13 +10,13 @@ SQL = pipeline_data.SQL | lakehouse.SQL | relational.SQL | streams.SQL
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
-def test_same_rows_as_sql(spark, data, name):
-    assert rows_of(QUERIES[name](spark, data)) == rows_of_sql(SQL[name], data)
+def test_same_rows_as_sql(spark, larger, name):
+    assert rows_of(QUERIES[name](spark, larger)) == rows_of_sql(SQL[name], larger)
 
 
 @pytest.mark.parametrize("name", ["partition_balance", "p1_table", "semantic_ask", "export_campaigns", "export_watchlist"])
-def test_rows_without_sql(spark, data, name):
-    assert QUERIES[name](spark, data).count() > 0
+def test_rows_without_sql(spark, larger, name):
+    assert QUERIES[name](spark, larger).count() > 0
 
 
 def test_every_sql_has_a_query():

@@ -43,6 +43,12 @@ def exactly_once(stored: DataFrame, key: Column, order: Sequence[Column], new: D
     many = settle(repeated(rows, key, k).select(F.xxhash64(k).alias(h)).distinct(), "repeated")
     if many.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
         many = F.broadcast(many)
-    single = keyed.join(many, h, "left_anti")  # a null matches nothing and stays
-    ranked = keyed.join(many, h, "left_semi").withColumn(rank, F.row_number().over(Window.partitionBy(k).orderBy(*order))).where(F.col(rank) == 1)
-    return single.drop(k, h).unionByName(ranked.drop(k, h, rank))
+        single = keyed.join(many, h, "left_anti")  # a null matches nothing and stays
+        again = keyed.join(many, h, "left_semi")
+    else:  # both parts read one shuffle of the rows that have an identifier
+        flag = fresh([*keyed.columns], "_tw_again")
+        marked = keyed.where(F.col(h).isNotNull()).join(many.withColumn(flag, F.lit(True)), h, "left")
+        single = marked.where(F.col(flag).isNull()).drop(flag).unionByName(keyed.where(F.col(h).isNull()))
+        again = marked.where(F.col(flag).isNotNull()).drop(flag)
+    ranked = again.withColumn(rank, F.row_number().over(Window.partitionBy(k).orderBy(*order))).where(F.col(rank) == 1)
+    return single.drop(k, h).select(*rows.columns).unionByName(ranked.drop(k, h, rank).select(*rows.columns))
