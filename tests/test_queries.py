@@ -14,7 +14,7 @@ def test_same_rows_as_sql(spark, larger, name):
     assert rows_of(QUERIES[name](spark, larger)) == rows_of_sql(SQL[name], larger)
 
 
-@pytest.mark.parametrize("name", ["partition_balance", "p1_table", "semantic_ask", "export_campaigns", "export_watchlist"])
+@pytest.mark.parametrize("name", ["partition_balance", "semantic_ask", "export_campaigns", "export_watchlist"])
 def test_rows_without_sql(spark, larger, name):
     assert QUERIES[name](spark, larger).count() > 0
 

@@ -191,7 +191,7 @@ def consistent(lines: DataFrame, found: DataFrame | None = None) -> DataFrame:
     number = F.coalesce(F.try_variant_get(v, "$", "double"), text.try_cast("double"))
     canonical = (
         F.when(F.col("tag").isNull(), F.lit(None))
-        .when(F.col("main_tag") == "number", number.cast("string"))
+        .when(F.col("main_tag") == "number", F.when((number == F.floor(number)) & (F.abs(number) < 1e15), number.cast("long").cast("string")).otherwise(number.cast("string")))
         .when(F.col("main_tag") == "boolean", F.lower(text).try_cast("boolean").cast("string"))
         .when(F.col("main_tag").isin("array", "object"), F.when(F.col("tag") == F.col("main_tag"), F.to_json(v)).when(F.col("main_tag") == "array", F.concat(F.lit("["), F.to_json(v), F.lit("]"))))
         .otherwise(F.when(F.col("tag").isin("array", "object"), F.to_json(v)).otherwise(text))

@@ -230,6 +230,18 @@ t AS (SELECT source, file_id, collected_at, unnest(list_transform(json_keys(p),
 UNION ALL SELECT source, file_id, collected_at, unnest(CASE json_type(x.j) WHEN 'OBJECT' THEN list_transform(json_keys(x.j), lambda k: {{'path': x.path || '.' || k, 'j': json_extract(x.j, '$."' || k || '"')}}) WHEN 'ARRAY' THEN list_transform(json_extract(x.j, '$[*]'), lambda e: {{'path': x.path || '[]', 'j': e}}) ELSE [] END) FROM t)
 SELECT source, x.path AS path, {_TAG.format(j="x.j")} AS tag, count(*) AS n_values, arg_min(file_id, (epoch_us(collected_at), file_id)) AS first_file FROM t WHERE json_type(x.j) <> 'NULL' GROUP BY 1, 2, 3""",
     "p1_found": f"""WITH {_LINES}, {_DRIFT} SELECT file_id, change_kind, old_field, new_field FROM report""",
+    "p1_table": f"""WITH RECURSIVE {_LINES}, {_DRIFT},
+und AS (SELECT DISTINCT source, host, a, b FROM (SELECT f.source, f.host, a, b FROM ren JOIN files f USING (file_id) UNION ALL SELECT f.source, f.host, b, a FROM ren JOIN files f USING (file_id))),
+reach AS (SELECT source, host, a, b FROM und UNION SELECT r.source, r.host, r.a, u.b FROM reach r JOIN und u ON u.source = r.source AND u.host = r.host AND u.a = r.b),
+names AS (SELECT source, host, a AS original, least(a, min(b)) AS name FROM reach GROUP BY source, host, a),
+cells AS (SELECT c.*, coalesce(n.name, c.original) AS field FROM (SELECT file_id, line_no, source, host, original, json_extract(p, '$."' || original || '"') AS j FROM (SELECT *, unnest(json_keys(p)) AS original FROM ok)) c LEFT JOIN names n ON n.source = c.source AND n.host = c.host AND n.original = c.original),
+typed AS (SELECT *, {_TAG.format(j="j")} AS tag, CASE WHEN json_type(j) <> 'NULL' THEN j ->> '$' END AS txt,
+  CASE json_type(j) WHEN 'OBJECT' THEN '{{' || array_to_string(list_transform(list_sort(json_keys(j)), lambda k: '"' || k || '":' || json_extract(j, '$."' || k || '"')::VARCHAR), ',') || '}}' ELSE j::VARCHAR END AS whole FROM cells),
+mains AS (SELECT source, field, arg_max(tag, (c, tag)) AS main FROM (SELECT source, field, tag, count(*) AS c FROM typed WHERE tag IS NOT NULL GROUP BY ALL) GROUP BY ALL),
+n AS (SELECT t.*, main, CASE WHEN tag IN ('number', 'string') THEN try_cast(txt AS DOUBLE) END AS num FROM typed t LEFT JOIN mains m ON m.source = t.source AND m.field = t.field)
+SELECT file_id, line_no, source, host AS collector_host, field, original, tag, CASE WHEN tag = 'string' THEN txt END AS as_string, CASE WHEN tag = 'number' THEN num END AS as_number, CASE WHEN tag = 'boolean' THEN txt::BOOLEAN END AS as_boolean, CASE WHEN tag IN ('array', 'object') THEN whole END AS as_json,
+CASE WHEN tag IS NULL THEN NULL WHEN main = 'number' THEN CASE WHEN num = floor(num) AND abs(num) < 1e15 THEN num::BIGINT::VARCHAR ELSE num::VARCHAR END WHEN main = 'boolean' THEN try_cast(lower(txt) AS BOOLEAN)::VARCHAR
+  WHEN main IN ('array', 'object') THEN CASE WHEN tag = main THEN whole WHEN main = 'array' THEN '[' || whole || ']' END ELSE CASE WHEN tag IN ('array', 'object') THEN whole ELSE txt END END AS canonical FROM n""",
     "p2_found": _P2,
     "p3_found": f"SELECT event_id FROM (SELECT {_UUID} AS event_id FROM bronze_events) GROUP BY event_id HAVING count(*) > 1",
     "p3_kept": f"""SELECT {_UUID} AS event_id, source, event_type, epoch_us(ingested_at) AS ingested_us, _kafka_partition, _kafka_offset, content_hash FROM bronze_events
