@@ -101,7 +101,7 @@ def _strong(hits: DataFrame) -> DataFrame:
     # bytes of another encoding that are valid UTF-8 are a garbled text put right; what loses something counts by frequency
     repaired = F.col("chain").endswith(">utf-8")
     common = ~F.col("is_char") & long_enough & (F.col("n_original") >= RATIO * F.col("n"))
-    sure = F.when(repaired, ~odder & common & ~F.col("lossless")).when(odder, utf8 | (~F.col("is_char") & long_enough & (F.col("n_original") * F.pow(F.lit(2.0), F.col("odd") - F.col("odd_original")) >= F.col("n")))).when(level & ~(boxes & F.col("is_char")), plain).otherwise(F.lit(False))
+    sure = F.when(repaired, ~odder & common & ~F.col("lossless")).when(odder, utf8 | (~F.col("is_char") & long_enough & (F.col("n_original") * F.pow(F.lit(2.0), F.col("odd") - F.col("odd_original")) >= F.col("n")))).when(level & ~(boxes & (F.length("tok") < 3)), plain).otherwise(F.lit(False))
     return h.withColumn("strong", sure).drop("votes", "against")
 
 
