@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 
-from tidewatch.quality import ERROR, Check
+from tidewatch.quality import ERROR, Check, failing
 
 
 @dataclass(frozen=True)
@@ -100,9 +100,10 @@ class Graph:
                         report[name] = Outcome("unchanged", time.time() - began)
                         break
                     built[name] = save(name, df) if save and not m.saves_itself else df
-                    checks = {c.name: (c.failing(), c.severity) for c in (m.checks(built[name], *inputs) if m.checks else [])}
-                    bad = any(n and s == ERROR for n, s in checks.values())
-                    report[name] = Outcome("failed" if bad else "built", time.time() - began, {k: n for k, (n, _) in checks.items()})
+                    checks = m.checks(built[name], *inputs) if m.checks else []
+                    found = failing(checks)
+                    bad = any(found[c.name] and c.severity == ERROR for c in checks)
+                    report[name] = Outcome("failed" if bad else "built", time.time() - began, found)
                     break
                 except Exception as error:  # noqa: BLE001 - reported, and what depends on it is skipped
                     report[name] = Outcome("failed", time.time() - began, error=str(error)[:2000])
@@ -121,7 +122,7 @@ class Graph:
     def check(self, name: str, load: Callable[[str], DataFrame | None]) -> dict[str, int]:
         """The failing rows of each check of a model as it stands."""
         m = self.models[name]
-        return {c.name: c.failing() for c in m.checks(*(self._input(n, {}, load) for n in (name, *m.deps)))} if m.checks else {}
+        return failing(m.checks(*(self._input(n, {}, load) for n in (name, *m.deps)))) if m.checks else {}
 
     def lineage(self) -> list[tuple[str, str]]:
         return [(d, n) for n, m in self.models.items() for d in m.deps]

@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewatch.storage import shared_dir
+from tidewatch.storage import settle, shared_dir
 
 _WORD = "[a-z0-9]{2,}"
 #: A word of any script for keyword search.
@@ -153,8 +153,8 @@ def keyword_terms(text: Column) -> Column:
 def keyword_scores(docs: DataFrame, key: str, text: str, query: str) -> DataFrame:
     """``(key, score)``: cosine of sublinear TF-IDF vectors over words and pairs with the query's; documents without a term of it are left out."""
     words = docs.where(F.col(text).isNotNull())
-    long = words.select(key, F.explode(keyword_terms(F.col(text))).alias("term")).groupBy(key, "term").agg(F.count(F.lit(1)).alias("c"))
-    df = long.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    long = settle(words.select(key, F.explode(keyword_terms(F.col(text))).alias("term")).groupBy(key, "term").agg(F.count(F.lit(1)).alias("c")), "postings")
+    df = settle(long.groupBy("term").agg(F.count(F.lit(1)).alias("df")), "frequencies")
     n = words.count()
     idf = df.select("term", (F.log(F.lit(1.0 + n) / (F.col("df") + 1)) + 1).alias("idf"))
     asked = docs.sparkSession.createDataFrame([(query,)], "q string").select(F.explode(keyword_terms(F.col("q"))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("qc"))

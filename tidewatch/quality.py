@@ -61,6 +61,13 @@ def report(checks: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, rows)
 
 
+def failing(checks: Sequence[Check]) -> dict[str, int]:
+    """The failing rows of each check, by name, in one job."""
+    if not checks:
+        return {}
+    return {r["check_name"]: r["failing"] for r in report({c.name: c.rows for c in checks}).collect()}
+
+
 def freshness(age_hours: float | None, warn_after: float = 8, fail_after: float = 14) -> str:
     """``pass``, ``warn`` or ``fail`` by a table's age; a table that was never written fails."""
     return "fail" if age_hours is None or age_hours > fail_after else "warn" if age_hours > warn_after else "pass"
